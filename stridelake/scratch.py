@@ -64,3 +64,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def sized(stored_table: DataFrame, limit: int = 32 << 20) -> DataFrame:
+    """A stored table marked for broadcast if its files are below ``limit`` bytes, else as it is (the join then shuffles)."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(stored_table) if size_of(stored_table.sparkSession, stored_table.stored_path) <= limit else stored_table
