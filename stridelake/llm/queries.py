@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm import packing, splits
+from stridelake.llm import leakage, packing, splits
 from stridelake.scratch import table
 
 SPLIT_NAMES = {"train": "train", "training": "train", "val": "val", "valid": "val", "validation": "val", "test": "test", "testing": "test"}
@@ -43,7 +43,15 @@ def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill.groupBy("tier").agg(F.count(F.lit(1)).alias("n_containers"), F.sum("n_tokens").alias("n_tokens"), F.round(1 - F.sum("n_tokens") / (F.lit(packing.CAPACITY) * F.count(F.lit(1))), 6).alias("unused"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_assigned, p6_found, p6_places, p6_fill)}
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+
+
+def p7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.near_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_assigned, p6_found, p6_places, p6_fill, p7_found, p7_near)}
 
 ORACLE = {
     "p2_found": r"""
