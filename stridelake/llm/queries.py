@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm import leakage, packing, splits
+from stridelake.llm import leakage, packing, splits, truncation
 from stridelake.scratch import table
 
 SPLIT_NAMES = {"train": "train", "training": "train", "val": "val", "valid": "val", "validation": "val", "test": "test", "testing": "test"}
@@ -51,7 +51,15 @@ def p7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.near_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_assigned, p6_found, p6_places, p6_fill, p7_found, p7_near)}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.truncated(table(spark, sf_dir, "documents"))
+
+
+def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.source_shares(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_assigned, p6_found, p6_places, p6_fill, p7_found, p7_near, p8_found, p8_sources)}
 
 ORACLE = {
     "p2_found": r"""
