@@ -5,16 +5,16 @@ form of its last line, its last token if the text stops right behind a letter, a
 (half a character, an open tag, half an entity, a mark of omission behind an unfinished sentence).  The same
 pass counts the words of the corpus, leaving out the tokens that texts stop at.
 
-The words become a trie as a table of nodes: one row per distinct prefix, with the words that end there and the
-words that go on.  A last token that is a node but no word is an unknown proper prefix of known words: a cut inside a
+The words become a trie as a table of nodes: one row per distinct prefix, with the occurrences of the word that ends
+there and of the words that go on.  A last token that is a node but no word is an unknown proper prefix of known words: a cut inside a
 word.  Distinct tokens are joined with the nodes by equality, so no task holds the trie and copies of a text
 or a source with most texts cost nothing more.
 
 Evidence of length and style is gathered per source: a source closes its sentences if most texts that end in running
 text close, leaving out unclosed ones near the source's greatest length; there, running text that stops
 unclosed is cut.  A source has a limit where one length, in characters or bytes, is far more common than others and
-(nearly) nothing is longer; a text of exactly that length, stopping at a word no shorter text stops
-at, is cut.  A last line that is a proper prefix of a common closing line, and not common itself, is cut.
+(nearly) nothing is longer; a text of exactly that length is cut if it stops at a word that whole texts
+never stop at, although the word is frequent enough that they should or is mostly the beginning of longer words.  A last line that is a proper prefix of a common closing line, and not common itself, is cut.
 
 Defined results: null and blank texts are no case and not counted; null source is a source of its own; repeated rows
 count once; the same text under several ids is judged each time; very long texts are read whole.
@@ -37,6 +37,7 @@ CLOSED_SHARE = 0.7
 NEAR_LIMIT = 0.9
 LIMIT_PEAK = 5
 LIMIT_TEXTS = 3
+EXPECTED_STOPS = 5
 COMMON_CLOSER = 1000
 
 ENDING = "doc_id bigint, source string, n_chars bigint, n_bytes bigint, closed boolean, certain boolean, form string, token string, line string"
@@ -146,9 +147,9 @@ def vocabulary(texts: DataFrame) -> DataFrame:
 
 
 def trie(words: DataFrame) -> DataFrame:
-    """The nodes of the vocabulary: every distinct prefix, the occurrences of the word that ends there (0: none), the words that go on."""
+    """The nodes of the vocabulary: every distinct prefix, the occurrences of the word that ends there (0: none), and of the words that go on."""
     node = F.explode(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.struct(F.substring(F.col("word"), F.lit(1), i).alias("node"), (i < F.length("word")).alias("goes_on"))))
-    return words.where("length(word) > 0").select("n", node.alias("p")).groupBy("p.node").agg(F.sum(F.when(~F.col("p.goes_on"), F.col("n")).otherwise(0)).alias("n_word"), F.count_if(F.col("p.goes_on")).alias("n_below"))
+    return words.where("length(word) > 0").select("n", node.alias("p")).groupBy("p.node").agg(F.sum(F.when(~F.col("p.goes_on"), F.col("n")).otherwise(0)).alias("n_word"), F.sum(F.when(F.col("p.goes_on"), F.col("n")).otherwise(0)).alias("n_below"))
 
 
 def _limits(ends: DataFrame, length: str) -> DataFrame:
@@ -161,14 +162,14 @@ def _limits(ends: DataFrame, length: str) -> DataFrame:
     return above.where(is_limit).select("source", F.col(f"peak.{length}").alias("at"))
 
 
-def _cut_closers(common: list[str]):
-    """Lines that are a proper prefix of a common closing line."""
+def _closers(common: list[str]):
+    """Common closing lines (not cut), and lines that are a proper prefix of one (cut)."""
     known = set(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = [x for x in batch.column("line").to_pylist() if x not in known and any(c.startswith(x) for c in known)]
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["line"])
+            lines = [x for x in batch.column("line").to_pylist() if any(c.startswith(x) for c in known)]
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), pa.array([x not in known for x in lines], pa.bool_())], names=["line", "cut_line"])
 
     return run
 
@@ -180,9 +181,9 @@ def judged(documents: DataFrame, doc_id: str = "doc_id", source: str = "source",
     ends = stored(rows.mapInArrow(_endings, ENDING), "endings")
     total = ends.count()
 
-    nodes = trie(stored(vocabulary(rows), "vocabulary"))
+    words = stored(vocabulary(rows), "vocabulary")
     tokens = ends.where("token is not null").select(F.col("token").alias("node")).distinct()
-    halves = stored(tokens.join(nodes, "node").where("n_word = 0 and n_below > 0").select(F.col("node").alias("token"), F.lit(True).alias("half")), "half-words")
+    halves = stored(tokens.join(trie(words), "node").select(F.col("node").alias("token"), "n_word", "n_below"), "last-words")
 
     longest = ends.groupBy("source").agg(F.max("n_chars").alias("longest"))
     limits = [stored(_limits(ends, k), f"limits-{k}") for k in ("n_chars", "n_bytes")]
@@ -197,26 +198,29 @@ def judged(documents: DataFrame, doc_id: str = "doc_id", source: str = "source",
     ending_lines = ends.where("form <> 'text' or not closed").where("line <> ''").groupBy("line").agg(F.count(F.lit(1)).alias("k"))
     ending_lines = stored(ending_lines, "ending-lines")
     common = [r[0] for r in ending_lines.where((F.col("k") >= LIMIT_TEXTS) & (F.col("k") * COMMON_CLOSER >= total)).select("line").collect()]
-    cut_lines = stored(ending_lines.select("line").mapInArrow(_cut_closers(common), "line string").withColumn("cut_line", F.lit(True)), "cut-lines")
+    closers = stored(ending_lines.select("line").mapInArrow(_closers(common), "line string, cut_line boolean"), "closers")
 
     out = ends.join(sized(style).withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     for i, limit in enumerate(limits):
         out = out.join(sized(limit).select(F.col("source").alias("s"), F.col("at").alias(f"at{i}")), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     out = out.withColumn("at_limit", (F.coalesce(F.col("n_chars") == F.col("at0"), F.lit(False)) | F.coalesce(F.col("n_bytes") == F.col("at1"), F.lit(False))))
-    out = stored(out, "judging")
-    stops = stored(out.where("token is not null and not at_limit and form <> 'list'").groupBy("token").agg(F.count(F.lit(1)).alias("stops_at")), "stops")
     # tokens and lines are unique on the right, so these joins add no rows
-    out = out.join(sized(halves), "token", "left").join(sized(stops), "token", "left").join(sized(cut_lines), "line", "left")
-    running = F.col("form") == "text"
+    out = out.join(sized(halves), "token", "left").join(sized(closers), "line", "left")
+    open_end = ~F.col("closed") & F.coalesce("cut_line", F.lit(True))
     evidence = {
         "certain": F.col("certain"),
-        "word": ~F.col("closed") & F.coalesce("half", F.lit(False)),
-        "sentence": ~F.col("closed") & running & F.coalesce("closing", F.lit(False)),
-        "closer": ~F.col("closed") & F.coalesce("cut_line", F.lit(False)),
-        "limit": ~F.col("closed") & F.col("at_limit") & F.col("token").isNotNull() & F.col("stops_at").isNull(),
+        "word": open_end & F.coalesce((F.col("n_word") == 0) & (F.col("n_below") > 0), F.lit(False)),
+        "sentence": open_end & (F.col("form") == "text") & F.coalesce("closing", F.lit(False)),
+        "closer": open_end & F.coalesce("cut_line", F.lit(False)),
     }
-    out = out.select("doc_id", "source", *(e.alias(k) for k, e in evidence.items()))
-    return out.withColumn("cut", F.greatest(*evidence))
+    out = stored(out.withColumns(evidence).withColumn("open_end", open_end), "judging")
+    sound = out.where("token is not null and not (certain or word or sentence or closer)")
+    stops = stored(sound.where("not at_limit and form <> 'list'").groupBy("token").agg(F.count(F.lit(1)).alias("stops_at")), "stops")
+    n_words, n_stops = words.agg(F.sum("n")).first()[0] or 1, stops.agg(F.sum("stops_at")).first()[0] or 0
+    never = F.col("stops_at").isNull() & ((F.col("n_below") > F.col("n_word")) | (F.col("n_word") * n_stops >= EXPECTED_STOPS * n_words))
+    limit = F.col("open_end") & F.col("at_limit") & F.col("token").isNotNull() & F.coalesce(never, F.lit(False))
+    out = out.join(sized(stops), "token", "left").select("doc_id", "source", *evidence, limit.alias("limit"))
+    return out.withColumn("cut", F.greatest(*evidence, "limit"))
 
 
 def truncated(documents: DataFrame) -> DataFrame:
