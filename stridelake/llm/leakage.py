@@ -196,14 +196,14 @@ def leaked_items(documents: DataFrame, items: DataFrame, item_id: str = "item_id
 
 
 def near_items(documents: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text", terms: int = NEAR_TERMS, span: int = NEAR_SPAN) -> DataFrame:
-    """(doc_id, item_id): the rarest terms of the item lie within ``span`` words of the text, in any order; such texts may hold a reworded item."""
+    """(doc_id, item_id): the rarest terms of the item that the corpus has lie within ``span`` words of the text, in any order; such texts may hold a reworded item."""
     out = None
     for chunk in _chunks(items, item_id, text):
         index, count = _prepared(documents, chunk)
         rare = []
         for item, found in chunk:
-            known = sorted({t for t in found}, key=lambda t: (count.get(t, 0), t))[:terms]
-            if len(known) == terms and all(t in count for t in known):
+            known = sorted({t for t in found if t in count}, key=lambda t: (count[t], t))[:terms]
+            if len(known) == terms:
                 rare.append((item, known))
         found = index.mapInArrow(_near(rare, span), "doc_id bigint, item_id bigint")
         out = found if out is None else out.unionByName(found)
