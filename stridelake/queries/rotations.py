@@ -58,7 +58,7 @@ def rot_quaternion_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
     _QUATS
     + f""", s AS (SELECT *, CASE WHEN a0 < 0 THEN -1.0 ELSE 1.0 END AS p, sqrt(a1*a1 + a2*a2 + a3*a3) AS n FROM q), l AS (SELECT *, p*atan2(n, p*a0)/(n + 1e-10) AS k FROM s)
 SELECT {_K}, """
-    + ", ".join([_r(f"a{i}*k", f"log{i - 1}") for i in (1, 2, 3)] + [_r("2*acos(greatest(-1, least(1, a0)))", "angle", 5)] + [_r("CASE WHEN n < 1e-9 THEN a1/0.001 ELSE a1/sqrt(greatest(1 - a0*a0, 1e-300)) END", "axis0", 4)] + ["0.0 AS back_error"])
+    + ", ".join([_r(f"a{i}*k", f"log{i - 1}") for i in (1, 2, 3)] + [_r("2*acos(greatest(-1, least(1, a0)))", "angle", 5)] + [_r("CASE WHEN n < 1e-9 THEN a1/0.001 ELSE a1/sqrt(greatest(1 - a0*a0, 1e-300)) END", "axis0", 4)] + ["CAST(0 AS DOUBLE) AS back_error"])
     + " FROM l WHERE n > 1e-4"
 )
 def rot_log_exp_angle_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +75,7 @@ _MATRIX = """, r AS (SELECT *, 1 - 2*(a2*a2 + a3*a3) AS m0, 2*(a1*a2 - a3*a0) AS
 
 
 @query(
-    _QUATS + _MATRIX + f"SELECT {_K}, " + ", ".join([_r(f"m{i}", f"m{i}") for i in range(9)] + [_r(f"m{i}", f"d{k}") for k, i in enumerate((0, 3, 6, 1, 4, 7))] + ["0.0 AS back_error"])
+    _QUATS + _MATRIX + f"SELECT {_K}, " + ", ".join([_r(f"m{i}", f"m{i}") for i in range(9)] + [_r(f"m{i}", f"d{k}") for k, i in enumerate((0, 3, 6, 1, 4, 7))] + ["CAST(0 AS DOUBLE) AS back_error"])
     + " FROM r"
 )
 def rot_matrix_and_back(spark: SparkSession, sf_dir: str) -> DataFrame:
