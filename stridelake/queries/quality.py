@@ -23,8 +23,8 @@ def _motion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SCAN = f"""{_ROWS}, v AS (SELECT object_type, motion_id, frame, len(list_filter(f, lambda x: NOT isfinite(x))) AS odd, list_max(list_transform(list_filter(f, lambda x: isfinite(x)), lambda x: abs(CAST(x AS DOUBLE)))) AS top FROM r),
-s AS (SELECT object_type, motion_id, count(*) AS n_rows, count(DISTINCT frame) AS n_frames, CAST(sum(odd) AS BIGINT) AS nonfinite, max(top) AS max_abs FROM v GROUP BY ALL),
-scan AS (SELECT *, array_to_string(list_filter([CASE WHEN nonfinite > 0 THEN 'nonfinite' END, CASE WHEN max_abs IS NULL OR max_abs > 22.53 THEN 'abs_gt_22.53' END], lambda x: x IS NOT NULL), ';') AS reasons FROM s)"""
+sc AS (SELECT object_type, motion_id, count(*) AS n_rows, count(DISTINCT frame) AS n_frames, CAST(sum(odd) AS BIGINT) AS nonfinite, max(top) AS max_abs FROM v GROUP BY ALL),
+scan AS (SELECT *, array_to_string(list_filter([CASE WHEN nonfinite > 0 THEN 'nonfinite' END, CASE WHEN max_abs IS NULL OR max_abs > 22.53 THEN 'abs_gt_22.53' END], lambda x: x IS NOT NULL), ';') AS reasons FROM sc)"""
 
 
 @query(f"WITH {_SCAN} SELECT object_type, motion_id, n_rows, n_frames, nonfinite, round(max_abs, 5) AS max_abs, reasons FROM scan")
