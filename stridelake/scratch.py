@@ -16,6 +16,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local: str | None = None
+_written: list[str] = []
+
+
+@atexit.register
+def _clear() -> None:
+    """Remove this process's intermediate tables where the shared folder is a mounted path."""
+    for path in _written:
+        if path.startswith(("/", "file:/")):
+            shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    path = f"{checkpoint_dir(spark)}/stridelake-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -39,7 +55,7 @@ def ensure_checkpoint(spark: SparkSession) -> None:
 def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a table of the shared folder and return the table: lineage ends here."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/stridelake-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
