@@ -114,8 +114,9 @@ def quat_slerp(a: Sequence, b: Sequence, t) -> Columns:
     c = F.abs(raw)
     angle = F.acos(F.least(c, F.lit(1.0)))
     straight = (1.0 - c) < 0.01
-    first = F.when(straight, 1.0 - t).otherwise(F.sin((1.0 - t) * angle) / F.sin(angle))
-    second = F.when(straight, t).otherwise(F.sin(t * angle) / F.sin(angle)) * F.when(raw < 0, -1.0).otherwise(1.0)
+    sine = F.when(straight, 1.0).otherwise(F.sin(angle))
+    first = F.when(straight, 1.0 - t).otherwise(F.sin((1.0 - t) * angle) / sine)
+    second = F.when(straight, t).otherwise(F.sin(t * angle) / sine) * F.when(raw < 0, -1.0).otherwise(1.0)
     return plus(scale(a, first), scale(b, second))
 
 
@@ -192,9 +193,10 @@ def random_quaternion(seed: int) -> Columns:
 
 
 def quat_matrix(q: Sequence) -> Columns:
-    """The matrix of a quaternion of any length but 0."""
+    """The matrix of a quaternion of any length; no turn where it is 0."""
     w, x, y, z = q
-    s = 2.0 / dot(q, q)
+    n = dot(q, q)
+    s = 2.0 / F.when(n == 0, float("inf")).otherwise(n)
     return (1 - s * (y * y + z * z), s * (x * y - z * w), s * (x * z + y * w), s * (x * y + z * w), 1 - s * (x * x + z * z), s * (y * z - x * w), s * (x * z - y * w), s * (y * z + x * w), 1 - s * (x * x + y * y))
 
 
