@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.scratch import stored
+from stridelake.scratch import sized, stored
 
 BLOCK_BYTES = 8 << 20
 PARTITION_BLOCKS = 8
@@ -112,19 +112,28 @@ def idle_files(blocks: DataFrame) -> DataFrame:
     """Files of the containers that hold no record, or only records that one other file of their clip also holds (more of them, or the same under a smaller file_id)."""
     sets = stored(record_sets(unpack(blocks)), "record-sets")
     empty = sets.where(F.size("frames") == 0).select("file_id")
-    full = sets.where(F.size("frames") > 0).withColumn("digest", F.sha2(F.array_join("frames", ","), 256))
-    first = full.groupBy("clip", "digest").agg(F.min("file_id").alias("first_id"), F.first("frames").alias("frames"))
-    first = stored(first, "distinct-sets")
-    same = full.join(first.select("clip", "digest", "first_id"), ["clip", "digest"]).where("file_id <> first_id").select("file_id")
-    # postings of distinct sets: how many sets hold a record, and, for each set, its rarest one
-    postings = first.select("clip", "digest", F.size("frames").alias("n"), F.explode("frames").alias("frame"))
-    held_by = postings.groupBy("clip", "frame").agg(F.count(F.lit(1)).alias("held_by"))
-    rarest = postings.join(held_by, ["clip", "frame"]).groupBy("clip", "digest").agg(F.min(F.struct("held_by", "frame")).alias("r")).select("clip", "digest", F.col("r.frame").alias("frame"), F.col("r.held_by").alias("held_by"))
-    asking = rarest.where("held_by > 1").join(first.select("clip", "digest", "frames"), ["clip", "digest"]).select("clip", "frame", F.col("digest").alias("asks"), F.col("frames").alias("mine"))
-    larger = postings.join(first.select("clip", "digest", "frames"), ["clip", "digest"]).select("clip", "frame", "n", "frames")
-    covered = asking.join(larger, ["clip", "frame"]).where(F.col("n") > F.size("mine")).where(F.size(F.array_except("mine", "frames")) == 0).select("clip", F.col("asks").alias("digest")).distinct()
-    inside = full.join(covered, ["clip", "digest"], "left_semi").select("file_id")
-    return empty.unionByName(same).unionByName(inside).distinct()
+    full = sets.where(F.size("frames") > 0).withColumn("digest", F.unhex(F.sha2(F.concat_ws("|", "clip", F.array_join("frames", ",")), 256)))
+    first = stored(full.groupBy("digest").agg(F.min("file_id").alias("set_id"), F.count(F.lit(1)).alias("n_files"), F.first("clip").alias("clip"), F.first("frames").alias("frames")), "distinct-sets")
+    member = full.select("file_id", "digest").join(first.where("n_files > 1").select("digest", "set_id"), "digest").select("file_id", "set_id")
+    same = member.where("file_id <> set_id").select("file_id")
+
+    # postings of the distinct sets under a hash of (clip, record); should two records share a hash, that only leaves more to check
+    postings = first.select("set_id", "clip", F.size("frames").alias("n"), F.explode("frames").alias("frame")).select("set_id", "n", F.xxhash64("clip", "frame").alias("record"))
+    held = stored(postings.groupBy("record").agg(F.count(F.lit(1)).alias("held_by"), F.min("set_id").alias("set_id")), "held-by")
+    # a set that alone holds some record lies in no other
+    own = held.where("held_by = 1").select("set_id").distinct()
+    asking = stored(first.select("set_id", "clip", "frames").join(own, "set_id", "left_anti"), "asking-sets")
+    wanted = asking.select("set_id", F.explode("frames").alias("frame"), "clip").select("set_id", F.xxhash64("clip", "frame").alias("record"))
+    rarest = wanted.join(held.select("record", "held_by"), "record").groupBy("set_id").agg(F.min(F.struct("held_by", "record")).alias("r")).select(F.col("set_id").alias("asks"), F.col("r.record").alias("record"))
+    rarest = stored(rarest, "rarest-records")
+    near = postings.join(sized(rarest), "record").where("set_id <> asks").select("asks", "set_id", "n").distinct()
+    mine = sized(asking).select(F.col("set_id").alias("asks"), F.col("clip").alias("its_clip"), F.col("frames").alias("mine"))
+    pairs = near.join(mine, "asks").where(F.col("n") > F.size("mine")).join(first.select("set_id", "clip", "frames"), "set_id")
+    covered = pairs.where((F.col("clip") == F.col("its_clip")) & (F.size(F.array_except("mine", "frames")) == 0)).select(F.col("asks").alias("set_id")).distinct()
+    covered = stored(covered, "covered-sets")
+    inside = covered.select(F.col("set_id").alias("file_id"))
+    copies = member.join(sized(covered), "set_id", "left_semi").select("file_id")
+    return empty.unionByName(same).unionByName(inside).unionByName(copies).distinct()
 
 
 def consolidate(blocks: DataFrame) -> DataFrame:
