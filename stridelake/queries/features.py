@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridelake.functions import rotations as R
+from stridelake.operators import encode as E
 from stridelake.operators import features as X
 from stridelake.operators import skeleton as S
 from stridelake.queries.base import CLIP, FINITE, TOPOLOGY, Registry, finite_motion, first_clip, first_topology
+from stridelake.scratch import stored
 
 query = Registry()
 K = "object_type, motion_id, frame, joint"
@@ -238,4 +240,37 @@ def ft_resampled_rotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(X.resampled_rotations(finite_motion(spark, sf_dir), 16), [f"d{i}" for i in range(6)], 5)
 
 
+def _raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Clips as raw animation: each joint's own rotation and the root's path, and skeletons of three joints or more with the joints that tell the facing (tail to head)."""
+    t = first_topology(spark, sf_dir).where(F.forall(F.transform("parents", lambda p, i: p < i), lambda b: b) & (F.size("parents") >= 3)).withColumn("face", F.array(F.lit(1), F.lit(2)))
+    m = finite_motion(spark, sf_dir).select(*X.KEYS, *R.aliased("g", R.parts("f", 3, 6)), F.array(*R.parts("f", 0, 3)).alias("pos"))
+    m = m.select(*X.KEYS, "pos", *R.aliased("m", R.sixd_matrix(R.names("g", 6))))
+    return m.select(*X.KEYS, "pos", F.array(*R.matrix_quat(R.names("m", 9))).alias("q")), t
+
+
+@query(
+    f"""WITH {FINITE}, {TOPOLOGY}, w AS (SELECT m.object_type, motion_id, frame FROM m JOIN topo t ON t.object_type = m.object_type WHERE joint < len(parents) AND len(parents) >= 3 AND len(list_filter(list_zip(parents, range(len(parents))), lambda p: p[1] >= p[2])) = 0 GROUP BY ALL HAVING count(*) = any_value(len(parents)))
+SELECT w.object_type, motion_id, (count(*) - 1)::BIGINT AS n_frames, any_value(len(parents))::BIGINT AS n_joints, CAST(0 AS DOUBLE) AS fk_error, CAST(0 AS DOUBLE) AS start_error FROM w JOIN topo t ON t.object_type = w.object_type GROUP BY ALL HAVING count(*) >= 2"""
+)
+def ft_encoded_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every clip encoded from raw animation; positions by rotation and by position must then agree, and each clip starts over the origin."""
+    raw, t = _raw(spark, sf_dir)
+    e = stored(E.encoded(raw, t).where("error is null"), "encoded")
+    by_rotation = X.forward_kinematics(e, E.scaled_topology(t)).join(X.world_positions(e).select(*X.KEYS, "w0", "w1", "w2"), X.KEYS)
+    gap = R.norm(R.minus((F.col("x"), F.col("y"), F.col("z")), R.names("w", 3)))
+    start = F.max(F.when((F.col("frame") == 0) & (F.col("joint") == 0), F.abs("w0") + F.abs("w2")))
+    return by_rotation.groupBy(*X.CLIP).agg(F.countDistinct("frame").alias("n_frames"), F.countDistinct("joint").alias("n_joints"), F.round(F.avg(gap), 3).alias("fk_error"), F.round(start, 4).alias("start_error"))
+
+
+@query(
+    f"""WITH RECURSIVE {TOPOLOGY}, j AS (SELECT object_type, CAST(unnest(range(len(parents))) AS INTEGER) AS joint, unnest(parents) AS parent, lower(unnest(joints_names)) AS name, unnest(offsets) AS o FROM topo),
+up AS (SELECT object_type, joint, joint AS a FROM j UNION ALL SELECT up.object_type, up.joint, j.parent FROM up JOIN j ON j.object_type = up.object_type AND j.joint = up.a WHERE j.parent >= 0),
+p AS (SELECT up.object_type, up.joint, sum(o[1]) AS x FROM up JOIN j ON j.object_type = up.object_type AND j.joint = up.a GROUP BY ALL),
+g AS (SELECT object_type, avg(CASE WHEN regexp_matches(name, 'hips|hub|spine|chest|neck') THEN x END) - avg(CASE WHEN regexp_matches(name, 'toe|foot|hoof|ashi|paw|pad') THEN x END) AS g FROM p JOIN j USING (object_type, joint) GROUP BY 1)
+SELECT object_type, CAST(CASE WHEN g > 1e-8 THEN 90 ELSE -90 END AS DOUBLE) AS roll, round(abs(g), 6) AS score FROM g"""
+)
+def ft_rest_roll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.rest_roll(first_topology(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
 QUERIES, ORACLE = query.queries, query.oracle
