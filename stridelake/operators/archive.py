@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.scratch import sized, stored
+from stridelake.scratch import partitions, sized, stored
 
 BLOCK_BYTES = 8 << 20
 PARTITION_BLOCKS = 8
@@ -68,7 +68,9 @@ def pack(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     rows = rows.groupBy("file_id").agg(F.min_by(F.struct("motion_id", "path", "payload"), F.struct(F.col("path").isNull(), "path", F.col("payload").isNull(), "payload")).alias("r")).select("file_id", "r.*")
     rows = stored(rows, "files")
     total = rows.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
-    n = max(1, -(-total // (block_bytes * PARTITION_BLOCKS)))
+    n_blocks = max(1, -(-total // block_bytes))
+    # a task fills several blocks only where there are more blocks than the cluster takes at once
+    n = min(n_blocks, max(partitions(rows.sparkSession), -(-n_blocks // PARTITION_BLOCKS)))
     placed = rows.repartitionByRange(n, "motion_id", "file_id") if n > 1 else rows.coalesce(1)
     return stored(placed.sortWithinPartitions("motion_id", "file_id").mapInArrow(_packer(block_bytes), BLOCKS), "containers")
 
