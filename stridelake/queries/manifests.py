@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stridelake.functions import captions as C
 from stridelake.functions import strings as T
 from stridelake.operators import manifest as M
 from stridelake.operators import skeleton as S
@@ -191,4 +192,35 @@ def mf_field_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy(F.trim(F.col("p")[0]).alias("species")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.trim(F.col("p")[1]).try_cast("int")).alias("total"))
 
 
+_ACTIONS = f"""WITH {CLIP}, k AS (SELECT motion_id, object_type, regexp_replace(motion_id, '_[0-9]+$', '') AS base FROM c WHERE object_type IS NOT NULL AND trim(object_type) <> ''), a AS (SELECT motion_id, object_type, CASE WHEN starts_with(lower(base), lower(object_type) || '_') THEN substr(base, length(object_type) + 2) ELSE base END AS action FROM k),
+w AS (SELECT *, lower(trim(regexp_replace(replace(action, '_', ' '), '\\s+', ' ', 'g'))) AS words, string_split(lower(object_type), '_') AS p FROM a),
+s AS (SELECT *, CASE WHEN len(p) > 1 AND p[-1] IN ('male', 'female', 'juvenile') THEN p[-1] || ' ' || array_to_string(p[1:len(p) - 1], ' ') ELSE array_to_string(p, ' ') END AS animal FROM w),
+v AS (SELECT *, coalesce(map_extract(MAP {{{', '.join(f"'{k}': '{x}'" for k, x in C.PREDICATES.items())}}}, split_part(words, ' ', 1))[1], 'performs ' || words) AS does, CASE WHEN left(animal, 1) IN ('a', 'e', 'i', 'o', 'u') THEN 'an' ELSE 'a' END AS art FROM s)
+"""
+
+
+def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = first_clip(spark, sf_dir).where("object_type is not null and trim(object_type) <> ''").select("motion_id", "object_type", T.without_counter(F.col("motion_id")).alias("base"))
+    return c.select("motion_id", "object_type", T.short_action(F.col("base"), F.col("object_type")).alias("action"))
+
+
+@query(_ACTIONS + "SELECT motion_id, regexp_replace(upper(left(art, 1)) || substr(art, 2) || ' ' || animal || ' ' || does || '.', ' +', ' ', 'g') AS draft FROM v WHERE NOT contains(lower(action), 'turn') AND NOT contains(action, '_to_')")
+def mf_draft_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drafted captions of clips whose action neither turns nor goes from one state to another."""
+    a = _actions(spark, sf_dir).where("not contains(lower(action), 'turn') and not contains(action, '_to_')")
+    return C.with_draft(a, "object_type", "action").select("motion_id", "draft")
+
+
+@query(_ACTIONS + "SELECT motion_id, regexp_replace('The ' || animal || ' ' || does || '.|' || upper(left(art, 1)) || substr(art, 2) || ' ' || animal || ' ' || does || '.|In this clip the ' || animal || ' ' || does || '.', ' +', ' ', 'g') AS forms FROM v")
+def mf_paraphrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.with_paraphrases(_actions(spark, sf_dir), "object_type", "action", 3).select("motion_id", F.array_join("paraphrases", "|").alias("forms"))
+
+
+@query(_CAPTIONS + r" SELECT motion_id, place, coalesce(caption IS NULL OR trim(caption) = '' OR NOT contains(lower(caption), lower(split_part(object_type, '_', 1))) OR regexp_matches(caption, '[_@#]|__'), false) AS rejected FROM k")
+def mf_caption_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which captions a review rejects."""
+    c = first_clip(spark, sf_dir).select("motion_id", "object_type", F.posexplode("captions").alias("place", "caption"))
+    return c.select("motion_id", "place", C.review(F.col("caption"), F.col("object_type"))["rejected"].alias("rejected"))
+
+
 QUERIES, ORACLE = query.queries, query.oracle
