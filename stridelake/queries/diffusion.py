@@ -9,6 +9,7 @@ from stridelake.functions import diffusion as D
 from stridelake.functions import rotations as R
 from stridelake.operators import features as X
 from stridelake.queries.base import FINITE, Registry, finite_motion
+from stridelake.scratch import stored
 
 query = Registry()
 STEPS = 100
@@ -146,4 +147,13 @@ def df_sampled_inpainting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*X.KEYS, (F.round("x", 4) + 0.0).alias("x"))
 
 
+@query(f"WITH {FINITE} SELECT {K}, round(CASE WHEN joint = 0 THEN f[2] ELSE 0.5 END, 4) + 0.0 AS x FROM m")
+def df_sampled_inpainting_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``df_sampled_inpainting`` over every frame, where that query's SQL asks for the first ten."""
+    m = finite_motion(spark, sf_dir).select(*X.KEYS, F.get("f", F.lit(1)).cast("double").alias("known"), F.get("f", F.lit(3)).cast("double").alias("x"))
+    keep = lambda x0: F.when(F.col("joint") == 0, F.col("known")).otherwise(x0)
+    out = D.sample(m, D.betas(spark, "cosine", 10), lambda rows: rows.withColumn("x0", F.lit(0.5)), keep, store=stored)
+    return out.select(*X.KEYS, (F.round("x", 4) + 0.0).alias("x"))
+
+
 QUERIES, ORACLE = query.queries, query.oracle
