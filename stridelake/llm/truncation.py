@@ -14,7 +14,8 @@ Evidence of length and style is gathered per source: a source closes its sentenc
 text close, leaving out unclosed ones near the source's greatest length; there, running text that stops
 unclosed is cut.  A source has a limit where one length, in characters or bytes, is far more common than others and
 (nearly) nothing is longer; a text of exactly that length is cut if it stops at a word that whole texts
-never stop at, although the word is frequent enough that they should or is mostly the beginning of longer words.  A last line that is a proper prefix of a common closing line, and not common itself, is cut.
+never stop at, although the word is frequent enough that they should or is mostly the beginning of longer words.  A last line that is a proper prefix of a closing line common in
+its source or in all texts, and not common itself, is cut; distinct texts count, so copies make no line common.
 
 Defined results: null and blank texts are no case and not counted; null source is a source of its own; repeated rows
 count once; the same text under several ids is judged each time; very long texts are read whole.
@@ -22,13 +23,14 @@ count once; the same text under several ids is judged each time; very long texts
 
 from __future__ import annotations
 
+import hashlib
 import html
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.scratch import sized, stored
@@ -40,7 +42,7 @@ LIMIT_TEXTS = 3
 EXPECTED_STOPS = 5
 COMMON_CLOSER = 1000
 
-ENDING = "doc_id bigint, source string, n_chars bigint, n_bytes bigint, closed boolean, certain boolean, form string, token string, line string"
+ENDING = "doc_id bigint, source string, n_chars bigint, n_bytes bigint, closed boolean, certain boolean, form string, token string, line string, digest binary"
 
 # fixed values: marks that stand for left-out text, closing signs, and elements that need no end tag
 MARKS = ("…", "...", "[...]", "[…]", "(...)", "(…)", "[more]", "(more)", "[truncated]", "[cut]", "[continued]", "read more", "show more")
@@ -120,9 +122,9 @@ def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for doc, source, text in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "source", "text"))):
             clean = text.rstrip("�")
-            out.append((doc, source, len(text), len(clean.encode("utf-8", "surrogatepass")), *ending(text)))
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.string()]
-        names = ["doc_id", "source", "n_chars", "n_bytes", "closed", "certain", "form", "token", "line"]
+            out.append((doc, source, len(text), len(clean.encode("utf-8", "surrogatepass")), *ending(text), hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()))
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.binary()]
+        names = ["doc_id", "source", "n_chars", "n_bytes", "closed", "certain", "form", "token", "line", "digest"]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
 
 
@@ -162,24 +164,35 @@ def _limits(ends: DataFrame, length: str) -> DataFrame:
     return above.where(is_limit).select("source", F.col(f"peak.{length}").alias("at"))
 
 
-def _closers(common: list[str]):
-    """Common closing lines (not cut), and lines that are a proper prefix of one (cut)."""
-    known = set(common)
+def _closers(ends: DataFrame) -> DataFrame:
+    """scope, line_key, cut_line: lines that close texts (false), and lines that are a proper prefix of one (true).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = [x for x in batch.column("line").to_pylist() if any(c.startswith(x) for c in known)]
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), pa.array([x not in known for x in lines], pa.bool_())], names=["line", "cut_line"])
+    A scope is a source, or all texts (``*``).  Distinct texts count, so copies of one text make no line common.
+    """
+    scoped = ends.withColumn("scope", F.explode(F.array("own", F.lit("*"))))
+    sizes = sized(stored(scoped.select("scope", "digest").distinct().groupBy("scope").agg(F.count(F.lit(1)).alias("n")), "texts"))
+    lines = scoped.where("form <> 'text' or not closed").where("line <> ''")
+    counts = stored(lines.select("scope", "line_key", "line_length", "digest").distinct().groupBy("scope", "line_key", "line_length").agg(F.count(F.lit(1)).alias("k")), "ending-lines")
+    common = stored(counts.join(sizes, "scope").where((F.col("k") >= LIMIT_TEXTS) & (F.col("k") * COMMON_CLOSER >= F.col("n"))).select("scope", "line_key"), "common-lines")
+    # the common lines are cut at the lengths that lines of their scope have, and the pieces found again by their keys
+    whole = lines.join(sized(common), ["scope", "line_key"]).groupBy("scope", "line_key").agg(F.first("line").alias("line"), F.first("line_length").alias("upto"))
+    lengths = sized(stored(counts.select("scope", "line_length").distinct(), "line-lengths"))
+    pieces = whole.drop("line_key").join(lengths, "scope").where("line_length < upto").select("scope", _key(F.col("line").substr(F.lit(1), F.col("line_length"))).alias("line_key")).distinct()
+    closing = common.withColumn("cut_line", F.lit(False))
+    cut = counts.select("scope", "line_key").join(pieces, ["scope", "line_key"], "left_semi").join(sized(common), ["scope", "line_key"], "left_anti")
+    return closing.unionByName(cut.withColumn("cut_line", F.lit(True)))
 
-    return run
+
+def _key(line: Column) -> Column:
+    return F.unhex(F.md5(line))
 
 
 def judged(documents: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """One row per non-blank text: doc_id, source, cut, and the evidence (certain, word, sentence, closer, limit)."""
     rows = documents.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = rows.where("doc_id is not null and text is not null").where(F.col("text").rlike(r"[^\s\p{Z}\p{C}]"))
-    ends = stored(rows.mapInArrow(_endings, ENDING), "endings")
-    total = ends.count()
+    ends = rows.mapInArrow(_endings, ENDING).withColumns({"own": F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")), "line_key": _key(F.col("line")), "line_length": F.length("line")})
+    ends = stored(ends, "endings")
 
     words = stored(vocabulary(rows), "vocabulary")
     tokens = ends.where("token is not null").select(F.col("token").alias("node")).distinct()
@@ -194,18 +207,20 @@ def judged(documents: DataFrame, doc_id: str = "doc_id", source: str = "source",
         "styles",
     )
 
-    # closing lines that at least a thousandth of all texts end with: at most a thousand, whatever the corpus
-    ending_lines = ends.where("form <> 'text' or not closed").where("line <> ''").groupBy("line").agg(F.count(F.lit(1)).alias("k"))
-    ending_lines = stored(ending_lines, "ending-lines")
-    common = [r[0] for r in ending_lines.where((F.col("k") >= LIMIT_TEXTS) & (F.col("k") * COMMON_CLOSER >= total)).select("line").collect()]
-    closers = stored(ending_lines.select("line").mapInArrow(_closers(common), "line string, cut_line boolean"), "closers")
+    closers = stored(_closers(ends), "closers")
 
     out = ends.join(sized(style).withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     for i, limit in enumerate(limits):
         out = out.join(sized(limit).select(F.col("source").alias("s"), F.col("at").alias(f"at{i}")), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     out = out.withColumn("at_limit", (F.coalesce(F.col("n_chars") == F.col("at0"), F.lit(False)) | F.coalesce(F.col("n_bytes") == F.col("at1"), F.lit(False))))
-    # tokens and lines are unique on the right, so these joins add no rows
-    out = out.join(sized(halves), "token", "left").join(sized(closers), "line", "left")
+    # tokens, and lines in a scope, are unique on the right, so these joins add no rows
+    out = out.join(sized(halves), "token", "left")
+    everywhere = F.col("scope") == "*"
+    for name, found in (("cut_own", sized(closers).where(~everywhere)), ("cut_all", sized(closers).where(everywhere))):
+        found = found.select(F.col("scope").alias("at_scope"), F.col("line_key").alias("at_key"), F.col("cut_line").alias(name))
+        same = F.col("line_key") == F.col("at_key")
+        out = out.join(found, same & (F.col("own") == F.col("at_scope")) if name == "cut_own" else same, "left").drop("at_scope", "at_key")
+    out = out.withColumn("cut_line", F.least("cut_own", "cut_all"))  # a line that closes in either scope is whole
     open_end = ~F.col("closed") & F.coalesce("cut_line", F.lit(True))
     evidence = {
         "certain": F.col("certain"),
