@@ -12,8 +12,8 @@ or a source with most texts cost nothing more.
 
 Evidence of length and style is gathered per source: a source closes its sentences if most texts that end in running
 text close, leaving out unclosed ones near the source's greatest length; there, running text that stops
-unclosed is cut.  A source has a limit where one length, in characters or bytes, is far more common than others and
-(nearly) nothing is longer; a text of exactly that length is cut if it stops at a word that whole texts
+unclosed is cut.  A source has a limit at every length, in characters or bytes, that far more of its distinct texts
+have than the lengths next to it; a text of exactly that length is cut if it stops at a word that whole texts
 never stop at, although the word is frequent enough that they should or is mostly the beginning of longer words.  A last line that is a proper prefix of a closing line common in
 its source or in all texts, and not common itself, is cut; distinct texts count, so copies make no line common.
 
@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stridelake.scratch import sized, stored
@@ -39,6 +40,7 @@ CLOSED_SHARE = 0.7
 NEAR_LIMIT = 0.9
 LIMIT_PEAK = 5
 LIMIT_TEXTS = 3
+NEIGHBOURS = 10
 EXPECTED_STOPS = 5
 COMMON_CLOSER = 1000
 
@@ -155,13 +157,12 @@ def trie(words: DataFrame) -> DataFrame:
 
 
 def _limits(ends: DataFrame, length: str) -> DataFrame:
-    """source, limit: a length that many texts of the source have and next to none exceeds."""
-    per = ends.groupBy("source", length).agg(F.count(F.lit(1)).alias("k"))
-    top = per.groupBy("source").agg(F.max_by(F.struct("k", length), F.struct("k", length)).alias("peak"), F.sum("k").alias("n"), F.count(F.lit(1)).alias("lengths"))
-    above = per.join(sized(stored(top, "peaks")).withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).groupBy("source").agg(F.first("peak").alias("peak"), F.first("n").alias("n"), F.first("lengths").alias("lengths"), F.sum(F.when(F.col(length) > F.col(f"peak.{length}"), F.col("k")).otherwise(0)).alias("longer"))
-    usual = (F.col("n") - F.col("peak.k")) / F.greatest(F.col("lengths") - 1, F.lit(1))
-    is_limit = (F.col("peak.k") >= LIMIT_TEXTS) & (F.col("peak.k") >= LIMIT_PEAK * usual) & (F.col("longer") * 50 <= F.col("n"))
-    return above.where(is_limit).select("source", F.col(f"peak.{length}").alias("at"))
+    """source, at: every length that far more distinct texts of the source have than its neighbouring lengths."""
+    per = ends.select("source", length, "digest").distinct().groupBy("source", length).agg(F.count(F.lit(1)).alias("k"))
+    by_length = W.partitionBy("source").orderBy(length)  # one row per length a source has
+    around = F.array_sort(F.concat(F.collect_list("k").over(by_length.rowsBetween(-NEIGHBOURS, -1)), F.collect_list("k").over(by_length.rowsBetween(1, NEIGHBOURS))))
+    usual = F.coalesce(F.get("around", F.floor(F.size("around") / 2).cast("int")), F.lit(0))
+    return per.withColumn("around", around).where((F.col("k") >= LIMIT_TEXTS) & (F.col("k") >= LIMIT_PEAK * usual)).select("source", F.col(length).alias("at"))
 
 
 def _closers(ends: DataFrame) -> DataFrame:
@@ -210,9 +211,10 @@ def judged(documents: DataFrame, doc_id: str = "doc_id", source: str = "source",
     closers = stored(_closers(ends), "closers")
 
     out = ends.join(sized(style).withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    for i, limit in enumerate(limits):
-        out = out.join(sized(limit).select(F.col("source").alias("s"), F.col("at").alias(f"at{i}")), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    out = out.withColumn("at_limit", (F.coalesce(F.col("n_chars") == F.col("at0"), F.lit(False)) | F.coalesce(F.col("n_bytes") == F.col("at1"), F.lit(False))))
+    for i, (limit, length) in enumerate(zip(limits, ("n_chars", "n_bytes"))):
+        found = sized(limit).select(F.col("source").alias("s"), F.col("at").alias(f"at{i}"))
+        out = out.join(found, F.col("source").eqNullSafe(F.col("s")) & (F.col(length) == F.col(f"at{i}")), "left").drop("s")
+    out = out.withColumn("at_limit", F.col("at0").isNotNull() | F.col("at1").isNotNull())
     # tokens, and lines in a scope, are unique on the right, so these joins add no rows
     out = out.join(sized(halves), "token", "left")
     everywhere = F.col("scope") == "*"
