@@ -86,7 +86,7 @@ def _markup(text: str) -> tuple[bool, bool]:
 
 
 def ending(text: str) -> tuple[bool, bool, str, str | None, str]:
-    """closed, certain (a cut by itself), form of the last line, last token where the text stops behind a letter, last line with digits as #."""
+    """closed, certain (a cut by itself), form of the last line, last token where the text stops behind a letter, last line, where it is not closed running text, with digits as #."""
     whole = _UNSEEN.sub("", text).rstrip()
     if whole[-1] == "�" or "\ud800" <= whole[-1] <= "\udfff":
         return False, True, "text", None, ""
@@ -116,7 +116,7 @@ def ending(text: str) -> tuple[bool, bool, str, str | None, str]:
         form = "text"
     last = _LAST.search(body)
     token = last.group().casefold() if last and not closed else None
-    return closed, left_open or half or (omitted and not closed), form, token, _DIGIT.sub("#", line)[:200]
+    return closed, left_open or half or (omitted and not closed), form, token, _DIGIT.sub("#", line) if form != "text" or not closed else ""
 
 
 def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
