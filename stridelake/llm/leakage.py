@@ -136,6 +136,24 @@ def _phrases(windows: list[tuple[tuple[str, ...], list[int], list[int]]]):
     return run
 
 
+def _spans(starts: np.ndarray, lists: list[np.ndarray], span: int) -> np.ndarray:
+    """Places in ``starts`` of the texts in which some run of ``span`` words holds a position of every list, the first the rarest."""
+    ends = []
+    for have in lists:  # positions at which such a run may end: less than the span behind the rarest term
+        since, upto = np.searchsorted(have, lists[0]), np.searchsorted(have, lists[0] + span)
+        n = upto - since
+        ends.append(have[np.repeat(since - np.cumsum(n) + n, n) + np.arange(n.sum())])
+    high = np.unique(np.concatenate(ends))
+    low = high
+    for have in lists:  # the last occurrence of each term up to there
+        at = np.searchsorted(have, high, "right") - 1
+        kept = at >= 0
+        high, low, at = high[kept], low[kept], at[kept]
+        low = np.minimum(low, have[at])
+    text = np.searchsorted(starts, high, "right") - 1
+    return text[(high - low < span) & (low >= starts[text])]
+
+
 def _near(rare: list[tuple[int, list[str]]], span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,14 +164,7 @@ def _near(rare: list[tuple[int, list[str]]], span: int):
                     lists = [postings.get(t) for t in terms]
                     if any(x is None for x in lists):
                         continue
-                    low = high = lists[0]
-                    for have in lists[1:]:  # the occurrence next to the rarest term, on either side
-                        right = np.searchsorted(have, lists[0])
-                        after = have[np.minimum(right, len(have) - 1)]
-                        before = have[np.maximum(right - 1, 0)]
-                        nearest = np.where(np.abs(after - lists[0]) < np.abs(before - lists[0]), after, before)
-                        low, high = np.minimum(low, nearest), np.maximum(high, nearest)
-                    for d in np.unique(docs[np.searchsorted(starts, lists[0][high - low < span], "right") - 1]).tolist():
+                    for d in np.unique(docs[_spans(starts, lists, span)]).tolist():
                         out_doc.append(d)
                         out_item.append(item)
                 if out_doc:
@@ -196,14 +207,17 @@ def leaked_items(documents: DataFrame, items: DataFrame, item_id: str = "item_id
 
 
 def near_items(documents: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text", terms: int = NEAR_TERMS, span: int = NEAR_SPAN) -> DataFrame:
-    """(doc_id, item_id): the rarest terms of the item that the corpus has lie within ``span`` words of the text, in any order; such texts may hold a reworded item."""
+    """(doc_id, item_id): the rarest terms of the item that the corpus has lie within ``span`` words of the text, in any order; such texts may hold a reworded item.
+
+    An item with fewer such terms is looked up by all it has.
+    """
     out = None
     for chunk in _chunks(items, item_id, text):
         index, count = _prepared(documents, chunk)
         rare = []
         for item, found in chunk:
             known = sorted({t for t in found if t in count}, key=lambda t: (count[t], t))[:terms]
-            if len(known) == terms:
+            if known:
                 rare.append((item, known))
         found = index.mapInArrow(_near(rare, span), "doc_id bigint, item_id bigint")
         out = found if out is None else out.unionByName(found)
