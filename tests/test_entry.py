@@ -15,6 +15,11 @@ def test_core_does_not_import_the_llm_package():
     assert subprocess.run([sys.executable, "-c", code]).returncode == 0
 
 
+def test_queries_stand_without_a_package_that_only_llm_needs():
+    code = "import sys; sys.modules['regex'] = None; import __spark_entry__ as e; q = e.queries(); sys.exit(not ('p1_found' in q and 'p7_found' not in q))"
+    assert subprocess.run([sys.executable, "-c", code]).returncode == 0
+
+
 def test_scans_are_pruned_and_plans_stay_in_the_jvm(spark):
     sf = "/root/testdata/sf0.001"
     plan = entry.queries()["ft_group_statistics"](spark, sf)._jdf.queryExecution().toString()
