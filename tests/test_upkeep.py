@@ -25,8 +25,9 @@ def test_orphans_match_brute_force(spark, monkeypatch):
     r = spark.createDataFrame([(t, i, k, day(at), x) for t, i, k, at, x in refs], "src_table string, rec_id string, key string, at timestamp, range_id int")
     p = spark.createDataFrame([(k, day(s), day(e), x) for k, s, e, x in parents], "key string, start timestamp, end timestamp, share string")
     monkeypatch.setattr(orphans, "SHARE_ROWS", 100)
-    for rows in (65_536, 20):
+    for rows, edges in ((65_536, 65_536), (20, 65_536), (20, 3), (2, 5)):
         monkeypatch.setattr(orphans, "RANGE_ROWS", rows)
+        monkeypatch.setattr(orphans, "MAX_EDGES", edges)
         got = [tuple(x) for x in orphans.orphan_references(r, p).collect()]
         assert len(got) == len(set(got)) and set(got) == expected
     counts = orphans.orphan_counts(orphans.orphan_references(r, p), r).collect()
@@ -34,6 +35,18 @@ def test_orphans_match_brute_force(spark, monkeypatch):
     assert sum(c["n_refs"] for c in counts) == len({(t, i) for t, i, k, *_ in refs if k is not None and i is not None})
 
 
+def test_one_parent_key_over_many_ranges(spark, monkeypatch):
+    rnd = random.Random(6)
+    parents = [("hot", a, a + rnd.randrange(1, 5), "") for a in range(0, 400, 7)] + [("hot", 20, 95, ""), ("a", 0, 9, ""), ("z", 5, None, "")]
+    refs = [("t", f"{k}{t}", k, t) for k in ("hot", "a", "z", "b") for t in [None, *range(0, 410)]]
+    held = lambda k, t: any(p == k and (t is None or s <= t and (e is None or t < e)) for p, s, e, _ in parents)
+    r = spark.createDataFrame([(*x[:3], day(x[3])) for x in refs], "src_table string, rec_id string, key string, at timestamp")
+    p = spark.createDataFrame([(k, day(s), day(e)) for k, s, e, _ in parents], "key string, start timestamp, end timestamp")
+    for rows in (65_536, 4):
+        monkeypatch.setattr(orphans, "RANGE_ROWS", rows)
+        assert {x[1] for x in orphans.orphan_references(r, p).collect()} == {i for _, i, k, t in refs if not held(k, t)}
+
+
 def test_orphans_of_empty_tables(spark):
     r = spark.createDataFrame([("t", "1", "k", day(1))], "src_table string, rec_id string, key string, at timestamp")
     p = spark.createDataFrame([], "key string, start timestamp, end timestamp")
