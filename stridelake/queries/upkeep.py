@@ -57,7 +57,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file read back from its container, with its place and whether the bytes are those that went in."""
-    files = table(spark, sf_dir, "clip_file").select("file_id", F.col("payload").alias("original"))
+    files = table(spark, sf_dir, "clip_file").select("file_id", F.col("payload").alias("original")).where("file_id is not null")
     back = archive.unpack(archive.pack(table(spark, sf_dir, "clip_file")))
     return back.join(files, "file_id").select("file_id", "path", "length", (F.col("intact") & F.col("payload").eqNullSafe(F.col("original"))).alias("intact"))
 
@@ -67,9 +67,19 @@ def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consolidated containers: clips and bytes per block."""
+    """Per clip what the consolidated containers hold, read back from them: records, their bytes, and whether all checksums hold."""
+    back = archive.unpack(archive.consolidated_containers(archive.pack(table(spark, sf_dir, "clip_file"))))
+    lines = F.size(F.split("payload", "\n")) - 1
+    return back.groupBy("motion_id").agg(F.sum(lines).alias("n_records"), F.sum("length").alias("n_bytes"), F.min("intact").alias("intact"))
+
+
+def p4_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consolidated containers over all: records, bytes, containers larger than the target, and containers beyond those the bytes need (one part filled per task)."""
     blocks = archive.consolidated_containers(archive.pack(table(spark, sf_dir, "clip_file")))
-    return blocks.select("block_id", F.size("members").cast("bigint").alias("n_members"), F.octet_length("data").cast("bigint").alias("n_bytes"))
+    lines = F.size(F.split(F.col("data").cast("string"), "\n")) - 1
+    tasks = F.count_distinct(F.substring_index("block_id", "-", 1))
+    full = F.count(F.lit(1)) - tasks <= F.floor(F.sum(F.octet_length("data")) / (archive.BLOCK_BYTES * 0.9))
+    return blocks.agg(F.sum(lines).cast("bigint").alias("n_records"), F.sum(F.octet_length("data")).cast("bigint").alias("n_bytes"), F.count_if(F.octet_length("data") > archive.BLOCK_BYTES).alias("n_over"), full.alias("well_filled"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +99,7 @@ def p5_clip_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select(F.col("key").alias("object_type"), F.col("n_rows").alias("n_clips"), F.col("frames_sum").cast("bigint").alias("n_frames"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sources, p3_found, p3_counts, p4_found, p4_index, p4_records, p4_containers, p5_found, p5_motion_totals, p5_clip_totals)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sources, p3_found, p3_counts, p4_found, p4_index, p4_records, p4_containers, p4_blocks, p5_found, p5_motion_totals, p5_clip_totals)}
 
 _P3_VIEWS = """
 WITH c AS (SELECT 'clip' AS src_table, motion_id AS rec_id, arg_min(object_type, ingested_at) AS k, min(ingested_at) AS t FROM (SELECT motion_id, coalesce(object_type, '~~') AS object_type, ingested_at FROM clip) GROUP BY motion_id),
@@ -102,7 +112,7 @@ orphan AS (SELECT DISTINCT src_table, rec_id, strftime(t, '%Y-%m') AS period FRO
 
 _P4_LINES = r"""
 WITH l AS (SELECT file_id, motion_id, unnest(regexp_split_to_array(coalesce(payload, ''), '\r\n|\r|\n')) AS line, generate_subscripts(regexp_split_to_array(coalesce(payload, ''), '\r\n|\r|\n'), 1) AS pos FROM clip_file),
-rec AS (SELECT file_id, motion_id, pos, CAST(trim(split_part(line, ',', 1)) AS INTEGER) AS frame, TRY_CAST(trim(split_part(line, ',', 2)) AS DOUBLE) AS height, TRY_CAST(trim(split_part(line, ',', 3)) AS INTEGER) AS contacts FROM l WHERE regexp_matches(trim(split_part(line, ',', 1)), '^[0-9]{1,9}$'))
+rec AS (SELECT file_id, motion_id, pos, coalesce(nullif(ltrim(trim(split_part(line, ',', 1)), '0'), ''), '0') AS digits, TRY_CAST(trim(split_part(line, ',', 1)) AS BIGINT) AS frame, line, TRY_CAST(trim(split_part(line, ',', 2)) AS DOUBLE) AS height, TRY_CAST(trim(split_part(line, ',', 3)) AS INTEGER) AS contacts FROM l WHERE regexp_matches(trim(split_part(line, ',', 1)), '^[0-9]+$'))
 """
 
 ORACLE = {
@@ -119,11 +129,13 @@ WHERE abs(x - med) > 10 * mad OR k >= 10 OR (((d1 > 0 AND d2 > 0) OR (d1 < 0 AND
 o AS (SELECT src_table, period, count(*) AS n_orphans FROM orphan GROUP BY ALL)
 SELECT n.src_table, n.period, n.n_refs, coalesce(o.n_orphans, 0) AS n_orphans FROM n LEFT JOIN o USING (src_table, period)""",
     "p4_found": _P4_LINES
-    + """, s AS (SELECT file_id, motion_id, list_sort(list_distinct(list(frame))) AS fs FROM rec GROUP BY ALL)
+    + """, s AS (SELECT file_id, motion_id, list_sort(list_distinct(list(digits))) AS fs FROM rec GROUP BY ALL)
 SELECT DISTINCT file_id FROM clip_file WHERE file_id NOT IN (SELECT file_id FROM rec)
 UNION SELECT DISTINCT a.file_id FROM s a JOIN s b ON a.motion_id = b.motion_id AND a.file_id <> b.file_id AND list_has_all(b.fs, a.fs) AND (len(b.fs) > len(a.fs) OR b.file_id < a.file_id)""",
     "p4_index": "SELECT file_id, path, CAST(octet_length(encode(payload)) AS BIGINT) AS length, true AS intact FROM clip_file",
-    "p4_records": _P4_LINES + "SELECT motion_id, frame, height, contacts, file_id FROM (SELECT *, row_number() OVER (PARTITION BY motion_id, frame ORDER BY file_id, pos) AS k FROM rec) WHERE k = 1",
+    "p4_records": _P4_LINES + "SELECT motion_id, frame, height, contacts, file_id FROM (SELECT *, row_number() OVER (PARTITION BY motion_id, digits ORDER BY file_id, pos) AS k FROM rec) WHERE k = 1",
+    "p4_containers": _P4_LINES + "SELECT motion_id, count(*) AS n_records, CAST(sum(octet_length(encode(line)) + 1) AS BIGINT) AS n_bytes, true AS intact FROM (SELECT *, row_number() OVER (PARTITION BY motion_id, digits ORDER BY file_id, pos) AS k FROM rec) WHERE k = 1 GROUP BY motion_id",
+    "p4_blocks": _P4_LINES + "SELECT count(*) AS n_records, CAST(sum(octet_length(encode(line)) + 1) AS BIGINT) AS n_bytes, 0 AS n_over, true AS well_filled FROM (SELECT *, row_number() OVER (PARTITION BY motion_id, digits ORDER BY file_id, pos) AS k FROM rec) WHERE k = 1",
     "p5_found": "SELECT object_type FROM clip WHERE object_type IS NOT NULL GROUP BY object_type HAVING count(DISTINCT motion_id) * 20 >= (SELECT count(DISTINCT motion_id) FROM clip)",
     "p5_motion_totals": """SELECT object_type, count(*) AS n_rows, count(CASE WHEN joint = 0 AND isfinite(f[2]) THEN 1 END) AS height_n, round(coalesce(sum(CASE WHEN joint = 0 AND isfinite(f[2]) THEN CAST(f[2] AS DOUBLE) END), 0), 3) AS height_sum,
 count(CASE WHEN f[13] IN (0, 1) THEN 1 END) AS contact_n, CAST(coalesce(sum(CASE WHEN f[13] IN (0, 1) THEN f[13] END), 0) AS BIGINT) AS contacts FROM motion GROUP BY object_type""",

@@ -82,7 +82,7 @@ def test_containers_are_lossless(spark):
     for block in (8, 1 << 20):
         blocks = archive.pack(df, block)
         back = {r["file_id"]: r for r in archive.unpack(blocks).collect()}
-        assert {k: (r["motion_id"], r["path"], r["payload"]) for k, r in back.items()} == {r[0]: r[1:] for r in ROWS if r[0]}
+        assert {k: (r["motion_id"], r["path"], r["payload"]) for k, r in back.items()} == {r[0]: r[1:] for r in ROWS}
         assert all(r["intact"] for r in back.values())
         assert archive.index(blocks).count() == len(back)
     assert blocks.count() == 1
@@ -95,8 +95,28 @@ def test_idle_files_and_records(spark):
     assert sorted(r[0] for r in archive.idle_files(blocks).collect()) == [2, 3, 5, 6, 7, 9]
     got = sorted((r["motion_id"] or "", r["frame"], r["height"], r["contacts"], r["file_id"]) for r in archive.consolidate(blocks).collect())
     assert got == [("", 0, 1.0, 2, 8), ("m", 0, 1.0, 2, 1), ("m", 1, 1.5, 3, 1), ("m", 2, 9.0, 1, 4), ("n", 0, None, None, 10), ("n", 3, None, None, 10)]
-    again = archive.consolidate(archive.consolidated_containers(blocks))
-    assert sorted((r["motion_id"] or "", r["frame"]) for r in again.collect()) == [x[:2] for x in got]
+    for size in (8, 1 << 20):  # also with a clip in several members
+        packed = archive.consolidated_containers(blocks, size)
+        again = archive.consolidate(packed)
+        assert sorted((r["motion_id"] or "", r["frame"]) for r in again.collect()) == [x[:2] for x in got]
+        assert all(r["intact"] for r in archive.unpack(packed).collect())
+
+
+def test_consolidated_lines_are_byte_identical(spark):
+    rows = [(1, "m", "p/1", "frame,height\n 7,0.123456,1,extra , field\r\n1234567890123,0.2,2\r007,9,9"), (2, "m", "p/2", "12345678901,1e-3,\n1234567890123,5,5"), (None, "m", "p/3", "99999999999999999999,ü\n7,0,0"), (None, "q", "p/4", "5"), (None, "q", "p/4", "5")]
+    blocks = archive.pack(files(spark, rows))
+    assert [r[0] for r in archive.idle_files(blocks).collect()] == []
+    back = {}
+    for r in archive.unpack(archive.consolidated_containers(blocks)).collect():
+        back.setdefault(r["motion_id"], []).extend(r["payload"].split("\n")[:-1])
+    assert back == {"m": [" 7,0.123456,1,extra , field", "12345678901,1e-3,", "1234567890123,0.2,2", "99999999999999999999,ü"], "q": ["5"]}
+    frames = {r["frame"] for r in archive.consolidate(blocks).collect()}
+    assert frames == {7, 12345678901, 1234567890123, None, 5}
+
+
+def test_many_sets_with_one_record_in_common(spark):
+    rows = [(i, "m", f"p{i}", "\n".join(f"{x},1,1" for x in range(60) if x != i % 60 or x == 0)) for i in range(120)]  # 1..59 lack one record each, twice; 0 and 60 hold all
+    assert {r[0] for r in archive.idle_files(archive.pack(files(spark, rows))).collect()} == set(range(1, 120))
 
 
 def test_idle_files_match_brute_force(spark):
