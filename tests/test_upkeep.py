@@ -137,21 +137,22 @@ KEYS = "k string, v double, key string, record string, sums int"
 
 def test_totals_per_key(spark, monkeypatch):
     rnd = random.Random(2)
-    rows = [(rnd.choice([None, "hot", "hot", "hot", f"k{rnd.randrange(3000)}"]), rnd.choice([None, float("nan"), float("inf"), 1.5, 2.0]), "a", f"r{i % 3500}", 1) for i in range(6000)]
+    rows = [(rnd.choice([None, "hot", "hot", "hot", "\u0000", "-", "", f"k{rnd.randrange(3000)}"]), rnd.choice([None, float("nan"), float("inf"), 1.5, 2.0]), "a", f"r{i % 3500}", 1) for i in range(6000)]
     df = spark.createDataFrame(rows, KEYS)
     want = {}
     for k, v, *_ in rows:
         n, c, s = want.get(k, (0, 0, 0.0))
         ok = v is not None and v == v and v != float("inf")
         want[k] = (n + 1, c + ok, s + (v if ok else 0.0))
-    for limit in (1 << 20, 0):
+    for limit, held in ((1 << 20, 500_000), (0, 500_000), (1 << 20, 100), (0, 100)):
         monkeypatch.setattr(hotkeys, "DICTIONARY_BYTES", limit)
+        monkeypatch.setattr(hotkeys, "HELD_KEYS", held)
         got = {r["key"]: (r["n_rows"], r["x_n"], r["x_sum"]) for r in hotkeys.per_key_totals(df, "k", {"x": "v"}, keep_null=True).collect()}
         assert got == want
     assert None not in {r["key"] for r in hotkeys.per_key_totals(df, "k").collect()}
-    records = {(k, r) for k, _, _, r, _ in rows if k}
+    records = {(k, r) for k, _, _, r, _ in rows if k is not None}
     every = {r for _, _, _, r, _ in rows}
-    heavy = {k for k in want if k and sum(1 for a, _ in records if a == k) * 20 >= len(every)}
+    heavy = {k for k in want if k is not None and sum(1 for a, _ in records if a == k) * 20 >= len(every)}
     assert {r["key"] for r in hotkeys.heavy_keys(df, "k", "record").collect()} == heavy
 
 
