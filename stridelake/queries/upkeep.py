@@ -17,6 +17,11 @@ def p1_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spikes.source_report(table(spark, sf_dir, "motion"))
 
 
+def p1_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many cases the forest's scores alone bring to the top, per source."""
+    return spikes.score_report(table(spark, sf_dir, "motion"))
+
+
 _P1_VIEWS = """
 WITH r AS (SELECT DISTINCT object_type o, motion_id m, frame, joint, f FROM motion WHERE object_type IS NOT NULL AND f IS NOT NULL),
 v AS (SELECT o, m, frame, joint, unnest(range(13)) c, CAST(unnest(f) AS DOUBLE) x FROM r),
@@ -99,7 +104,7 @@ def p5_clip_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select(F.col("key").alias("object_type"), F.col("n_rows").alias("n_clips"), F.col("frames_sum").cast("bigint").alias("n_frames"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sources, p3_found, p3_counts, p4_found, p4_index, p4_records, p4_containers, p4_blocks, p5_found, p5_motion_totals, p5_clip_totals)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sources, p1_scores, p3_found, p3_counts, p4_found, p4_index, p4_records, p4_containers, p4_blocks, p5_found, p5_motion_totals, p5_clip_totals)}
 
 _P3_VIEWS = """
 WITH c AS (SELECT 'clip' AS src_table, motion_id AS rec_id, arg_min(object_type, ingested_at) AS k, min(ingested_at) AS t FROM (SELECT motion_id, coalesce(object_type, '~~') AS object_type, ingested_at FROM clip) GROUP BY motion_id),
@@ -115,14 +120,16 @@ WITH l AS (SELECT file_id, motion_id, unnest(regexp_split_to_array(coalesce(payl
 rec AS (SELECT file_id, motion_id, pos, coalesce(nullif(ltrim(trim(split_part(line, ',', 1)), '0'), ''), '0') AS digits, TRY_CAST(trim(split_part(line, ',', 1)) AS BIGINT) AS frame, line, TRY_CAST(trim(split_part(line, ',', 2)) AS DOUBLE) AS height, TRY_CAST(trim(split_part(line, ',', 3)) AS INTEGER) AS contacts FROM l WHERE regexp_matches(trim(split_part(line, ',', 1)), '^[0-9]+$'))
 """
 
-ORACLE = {
-    "p1_found": _P1_VIEWS
-    + """
-SELECT m AS motion_id, frame, joint, CAST(c AS INTEGER) AS channel FROM v WHERE NOT isfinite(x) OR (c BETWEEN 3 AND 8 AND abs(x) > 1.01) OR (c = 12 AND x NOT IN (0, 1))
+_P1_CASES = """, cases AS (
+SELECT o, m AS motion_id, frame, joint, CAST(c AS INTEGER) AS channel FROM v WHERE NOT isfinite(x) OR (c BETWEEN 3 AND 8 AND abs(x) > 1.01) OR (c = 12 AND x NOT IN (0, 1))
 UNION
-SELECT m, frame, joint, CAST(c AS INTEGER) FROM rl LEFT JOIN mm USING (o, joint, c) LEFT JOIN st USING (o, joint, c)
-WHERE abs(x - med) > 10 * mad OR k >= 10 OR (((d1 > 0 AND d2 > 0) OR (d1 < 0 AND d2 < 0)) AND abs(d1) > 5 * step AND abs(d2) > 5 * step)
-""",
+SELECT o, m, frame, joint, CAST(c AS INTEGER) FROM rl LEFT JOIN mm USING (o, joint, c) LEFT JOIN st USING (o, joint, c)
+WHERE abs(x - med) > 10 * mad OR k >= 10 OR (((d1 > 0 AND d2 > 0) OR (d1 < 0 AND d2 < 0)) AND abs(d1) > 5 * step AND abs(d2) > 5 * step))
+"""
+
+ORACLE = {
+    "p1_found": _P1_VIEWS + _P1_CASES + "SELECT DISTINCT motion_id, frame, joint, channel FROM cases",
+    "p1_sources": _P1_VIEWS + _P1_CASES + "SELECT o AS object_type, readings, coalesce(n, 0) AS cases FROM (SELECT o, count(x) AS readings FROM v GROUP BY o) LEFT JOIN (SELECT o, count(*) AS n FROM cases GROUP BY o) USING (o)",
     "p3_found": _P3_VIEWS + "SELECT * FROM orphan",
     "p3_counts": _P3_VIEWS
     + """, n AS (SELECT src_table, strftime(t, '%Y-%m') AS period, count(*) AS n_refs FROM (SELECT DISTINCT src_table, rec_id, t FROM refs) GROUP BY ALL),

@@ -2,6 +2,7 @@ import itertools
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stridelake.operators import spikes
@@ -96,20 +97,53 @@ def test_empty(spark):
     assert spikes.source_report(df).collect() == []
 
 
-def test_hot_source_is_split(spark, monkeypatch):
+@pytest.mark.parametrize("bucket, exact, points, fan_in", [(200_000, 8_192, 4_096, 64), (100, 64, 64, 64), (40, 16, 16, 2), (60, 8, 8, 3)])
+def test_medians_stay_exact_in_buckets_and_summaries(spark, monkeypatch, bucket, exact, points, fan_in):
     rng = np.random.default_rng(6)
     rows = [tuple(r) for k in range(40) for r in clip(rng, "hot", f"h{k}", frames=12)]
+    rows += [tuple(r) for k in range(3) for r in clip(rng, "cold", f"c{k}", frames=12)]
+    rows += [("coarse", f"g{k}", t, 1, [round(float(x) * 2) / 2 for x in rng.normal(size=12)] + [0.0], "x", 1, "y") for k in range(20) for t in range(12)]
     df = spark.createDataFrame(rows, SCHEMA)
-    monkeypatch.setattr(spikes, "EXACT_VALUES", 64)
-    monkeypatch.setattr(spikes, "SUMMARY_POINTS", 64)
-    rough = {tuple(r) for r in spikes.implausible_readings(df).collect()}
-    assert rough == brute(rows)  # sound and planted readings lie far from the limits, condensed summaries or not
+    for name, value in (("BUCKET_ROWS", bucket), ("EXACT_VALUES", exact), ("SUMMARY_POINTS", points), ("FAN_IN", fan_in)):
+        monkeypatch.setattr(spikes, name, value)
+    made = {r["object_type"]: spikes._unpacked(r["model"]) for r in spikes._prepared(df).select("object_type", "model").distinct().collect()}
+    for o, model in made.items():
+        for joint, scale in zip(model["joints"], model["scales"]):
+            for c in spikes._level_channels(joint):
+                series = {}
+                for r in rows:
+                    if r[0] == o and r[3] == joint:
+                        series.setdefault(r[1], {})[r[2]] = float(np.float32(r[4][c]))
+                x = np.array([v for s in series.values() for v in s.values()])
+                steps = np.array([abs(s[t + 1] - s[t]) for s in series.values() for t in s if t + 1 in s])
+                want = (np.median(x), np.median(np.abs(x - np.median(x))), np.median(steps[steps > 0]) if (steps > 0).any() else np.nan)
+                np.testing.assert_array_equal(scale[:, c], want)
+    assert {tuple(r) for r in spikes.implausible_readings(df).collect()} == brute(rows)
     built = spikes._prepared(df)
-    assert built.select(F.explode("motion_ids")).distinct().count() == 40
-
-
-def test_medians_of_condensed_values():
-    x = np.random.default_rng(1).normal(size=200_000)
-    v, w = spikes._condense(x)
-    assert len(v) == spikes.SUMMARY_POINTS and abs(w.sum() - len(x)) < 1e-6
-    assert abs((x < spikes._median(v, w)).mean() - 0.5) < 1 / spikes.SUMMARY_POINTS
+    assert built.select(F.explode("motion_ids")).distinct().count() == 63
+    if bucket < 200_000:
+        assert built.where("object_type = 'hot'").select("bucket").distinct().count() > 5
+
+
+def test_scores_rank_planted_readings_first(spark):
+    rng = np.random.default_rng(7)
+    rows = [r for k in range(30) for r in clip(rng, "wolf", f"w{k}", frames=40)]
+    for r in rows[500:2400:100]:
+        r[4][1] = 60.0 + float(rng.normal())
+    df = spark.createDataFrame([tuple(r) for r in rows], SCHEMA)
+    report = spikes.score_report(df).collect()[0]
+    assert report["cases"] >= 19 and report["cases_on_top"] >= 0.8 * report["cases"]
+    scores = spikes.scored_readings(df)
+    assert scores.count() == len(rows) * 13
+    top = {(r["motion_id"], r["frame"]) for r in scores.where("channel = 1").orderBy(F.desc("score")).limit(19).collect()}
+    assert len(top & {(r[1], r[2]) for r in rows[500:2400:100]}) >= 16
+
+
+def test_forest_reaches_every_cell():
+    rng = np.random.default_rng(2)
+    boxes = []
+    spikes._grow(rng.integers(0, spikes.CUTS + 1, (64, 4)), rng, boxes)
+    cells = np.zeros((spikes.CUTS + 1,) * 4, int)
+    for b in boxes:
+        cells[tuple(slice(lo, hi) for lo, hi in zip(b[:4], b[4:8]))] += 1
+    assert (cells == 1).all()
