@@ -16,6 +16,7 @@ _LINK = regex.compile(r"(!?)\[([^\[\]]*)\]\((?:[^()\s]|\([^()\s]*\))*(?:\s+\"[^\
 _LIGHT = regex.compile(r"\*\*|~~|(?<=\p{L})\*(?=\p{L})")
 _INVISIBLE = regex.compile(r"[\p{Cf}\p{Cc}\p{Mn}\p{Me}ᅟᅠㅤﾠ--[\n\r\t\v\f]]", regex.V1)
 _HYPHEN = regex.compile(r"(?<=[\p{L}\p{N}])[-‐‑¬][ \t]*(?:\r\n?|\n| | )[\s>|*#]*(?=[\p{L}\p{N}])")
+_ODD_BREAK = regex.compile("[\u2028\u2029\x85]")
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 
 
@@ -46,5 +47,36 @@ def readings(text: str) -> list[list[str]]:
     return [first] if joined == base else [first, _WORD.findall(base)]
 
 
+LONGEST_CHAIN = 16
+
+
+def lattice(text: str) -> tuple[list[str], list[int], list[tuple[int, int, str]]]:
+    """The words with every hyphen at a line end parting them; the places of words that such a hyphen ties to the next; and
+    (place, number of words, joined word) for every way to join tied words, each hyphen for itself.
+
+    Of a chain of more than LONGEST_CHAIN tied words, runs of up to so many are joined, and the whole chain.
+    """
+    base = plain(text)
+    ties = {m.start(): m.end() for m in _HYPHEN.finditer(base)} if "\n" in base or "\r" in base or _ODD_BREAK.search(base) else None
+    if not ties:
+        return _WORD.findall(base), [], []
+    spans = [m.span() for m in _WORD.finditer(base)]
+    found = [base[a:b] for a, b in spans]
+    tied = [i for i in range(len(spans) - 1) if ties.get(spans[i][1]) == spans[i + 1][0]]
+    joined: list[tuple[int, int, str]] = []
+    at = 0
+    while at < len(tied):
+        first, last = tied[at], tied[at]
+        while at < len(tied) and tied[at] <= last:
+            last = tied[at] + 1
+            at += 1
+        for a in range(first, last):
+            for b in range(a + 1, min(last, a + LONGEST_CHAIN - 1) + 1):
+                joined.append((a, b - a + 1, "".join(found[a : b + 1])))
+        if last - first >= LONGEST_CHAIN:
+            joined.append((first, last - first + 1, "".join(found[first : last + 1])))
+    return found, tied, joined
+
+
 def words(text: str) -> list[str]:
     return readings(text)[0]

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from stridelake.llm import leakage
-from stridelake.llm.words import plain, readings, words
+from stridelake.llm.words import lattice, plain, readings, words
 
 ITEM = "Which of 158 recorded frosttusk turns first when the lower spine reaches 175 units, given that smoothly every nervous mossmane grazes?"
 
@@ -71,3 +71,32 @@ def test_eleven_words_are_not_enough(spark):
     assert {r[0] for r in leakage.leaked_items(d, i).collect()} == {2, 4}
     assert leakage.leaked_items(d, i.limit(0)).count() == leakage.leaked_items(d.limit(0), i).count() == 0
     assert {r[0] for r in leakage.near_items(d, i, terms=4, span=12).collect()} == {3, 4}
+
+
+def test_each_hyphen_is_read_for_itself(spark):
+    docs = [
+        (1, ITEM.replace("recorded", "recor-\nded").replace("lower spine", "lower-\nspine")),  # one joins, one parts
+        (2, ITEM.replace("recorded", "re-\ncor-\nded").replace("turns first", "turns-\nfirst").replace("spine reaches", "spine-\nreaches")),
+        (3, ITEM.replace("lower spine", "low-\ner-\nspine")),  # in one chain, one joins and one parts
+        (4, ITEM.replace("recorded", "-\n".join("recorded"))),
+        (5, " ".join(ITEM.split()[:11]) + "-\nx"),
+    ]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    i = spark.createDataFrame([(7, ITEM), (8, ITEM.replace("lower spine", "lower-\nspine"))], "item_id bigint, text string")
+    assert {tuple(r) for r in leakage.leaked_items(d, i).collect()} == {(n, k) for n in (1, 2, 3, 4) for k in (7, 8)}
+
+
+def test_chain_of_hyphens_longer_than_the_longest_is_linear():
+    found, tied, joined = lattice("-\n".join("ab" for _ in range(3000)))
+    assert len(found) == 3000 and len(tied) == 2999 and len(joined) < 16 * 3000
+    assert max(n for _, n, _ in joined) == 3000
+
+
+def test_one_index_serves_many_items(spark):
+    rnd = random.Random(11)
+    say = lambda n: " ".join(f"w{rnd.randrange(400)}" for _ in range(n))
+    docs = [(d, say(200)) for d in range(100)]
+    items = [(i, " ".join(docs[i % 100][1].split()[40:60])) for i in range(300)] + [(1000 + i, say(20)) for i in range(300)]
+    index = leakage.build_index(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    got = {tuple(r) for r in leakage.leaked_in(index, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == {(i % 100, i) for i in range(300)}
