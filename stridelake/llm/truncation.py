@@ -5,10 +5,11 @@ form of its last line, its last token if the text stops right behind a letter, a
 (half a character, an open tag, half an entity, a mark of omission behind an unfinished sentence).  The same
 pass counts the words of the corpus, leaving out the tokens that texts stop at.
 
-The words become a trie as a table of nodes: one row per distinct prefix, with the occurrences of the word that ends
+The words become a trie as a table of nodes: one row per prefix, with the occurrences of the word that ends
 there and of the words that go on.  A last token that is a node but no word is an unknown proper prefix of known words: a cut inside a
-word.  Distinct tokens are joined with the nodes by equality, so no task holds the trie and copies of a text
-or a source with most texts cost nothing more.
+word.  Only nodes that last tokens can ask for are made: a word is cut at the lengths that tokens with its first
+``HEAD`` letters have, so a run of a million letters makes few nodes.  Distinct tokens are joined with the nodes by equality,
+so no task holds the trie and copies of a text or a source with most texts cost nothing more.
 
 Evidence of length and style is gathered per source: a source closes its sentences if most texts that end in running
 text close, leaving out unclosed ones near the source's greatest length; there, running text that stops
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stridelake.scratch import sized, stored
+from stridelake.scratch import lookup, sized, stored
 
 CLOSED_SHARE = 0.7
 NEAR_LIMIT = 0.9
@@ -43,11 +44,14 @@ LIMIT_TEXTS = 3
 NEIGHBOURS = 10
 EXPECTED_STOPS = 5
 COMMON_CLOSER = 1000
+HEAD = 3
 
-ENDING = "doc_id bigint, source string, n_chars bigint, n_bytes bigint, closed boolean, certain boolean, form string, token string, line string, digest binary"
+ENDING = "kind string, word string, n bigint, doc_id bigint, source string, n_chars bigint, n_bytes bigint, closed boolean, certain boolean, form string, token string, line string, digest binary"
 
 # fixed values: marks that stand for left-out text, closing signs, and elements that need no end tag
-MARKS = ("…", "...", "[...]", "[…]", "(...)", "(…)", "[more]", "(more)", "[truncated]", "[cut]", "[continued]", "read more", "show more")
+MARKS = ("…", "...", "[...]", "[…]", "(...)", "(…)", "[more]", "(more)", "[truncated]", "[cut]", "[continued]", "read more", "show more",
+         "[suite]", "(suite)", "[à suivre]", "(à suivre)", "lire la suite", "voir plus", "[mehr]", "(mehr)", "[gekürzt]", "[fortsetzung folgt]", "weiterlesen", "mehr anzeigen", "mehr lesen",
+         "[más]", "(más)", "[cortado]", "[continúa]", "(continúa)", "leer más", "ver más", "seguir leyendo")
 STOPS = ".!?。！？؟।"
 WRAPS = "\"'»”’›)]}*_`"
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
@@ -55,6 +59,7 @@ VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 _WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _LAST = regex.compile(r"\p{L}[\p{L}\p{M}]*$")
 _UNSEEN = regex.compile(r"[\p{Cf}--[\n]]", regex.V1)
+_ANY_TAG = regex.compile(r"<[^<>]*>?")
 _ELEMENT = regex.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*?)?(/?)>")
 _OPEN_TAG = regex.compile(r"<(?:/?[a-zA-Z][^<>]*|/|!-{0,2}[^<>]*)?$")
 _HALF_ENTITY = regex.compile(r"&#?[a-zA-Z0-9]{0,8}$")
@@ -94,7 +99,7 @@ def ending(text: str) -> tuple[bool, bool, str, str | None, str]:
     half = marked and bool(_HALF_ENTITY.search(whole))
     body = whole
     if marked:
-        body = html.unescape(regex.sub(r"<[^<>]*>?", "", whole)).rstrip() or whole
+        body = html.unescape(_ANY_TAG.sub("", whole)).rstrip() or whole
     omitted = False
     again = True
     while again:
@@ -119,41 +124,44 @@ def ending(text: str) -> tuple[bool, bool, str, str | None, str]:
     return closed, left_open or half or (omitted and not closed), form, token, _DIGIT.sub("#", line) if form != "text" or not closed else ""
 
 
-def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One reading of the texts: a row for each text's end, and the words of a batch with their counts, without the token an unclosed text stops at."""
+    names = ["kind", "word", "n", "doc_id", "source", "n_chars", "n_bytes", "closed", "certain", "form", "token", "line", "digest"]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.binary()]
     for batch in batches:
         out = []
-        for doc, source, text in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "source", "text"))):
-            clean = text.rstrip("�")
-            out.append((doc, source, len(text), len(clean.encode("utf-8", "surrogatepass")), *ending(text), hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()))
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.binary()]
-        names = ["doc_id", "source", "n_chars", "n_bytes", "closed", "certain", "form", "token", "line", "digest"]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of a batch with their counts, without the token an unclosed text stops at."""
-    for batch in batches:
         seen: Counter[str] = Counter()
-        for text in batch.column("text").to_pylist():
-            clean = regex.sub(r"<[^<>]*>?", " ", _UNSEEN.sub("", text)).rstrip()
+        for doc, source, text in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "source", "text"))):
+            raw = text.encode("utf-8", "surrogatepass")
+            half = text.rstrip("\ufffd")
+            out.append((doc, source, len(text), len(raw) if len(half) == len(text) else len(half.encode("utf-8", "surrogatepass")), *ending(text), hashlib.md5(raw).digest()))
+            clean = text if text.isascii() else _UNSEEN.sub("", text)
+            clean = (_ANY_TAG.sub(" ", clean) if "<" in clean else clean).rstrip()
             found = _WORDS.findall(clean)
-            if found and clean[-1].isalpha():
-                found.pop()
-            elif found and (clean[-1] == "�" or any(clean.lower().endswith(m) for m in MARKS)):
+            if found and (clean[-1].isalpha() or clean[-1] == "\ufffd" or clean.lower().endswith(MARKS)):
                 found.pop()
-            seen.update(w.casefold() for w in found)
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
-
-
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """Known words of the corpus with their number of occurrences."""
-    return texts.select("text").mapInArrow(_counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def trie(words: DataFrame) -> DataFrame:
-    """The nodes of the vocabulary: every distinct prefix, the occurrences of the word that ends there (0: none), and of the words that go on."""
-    node = F.explode(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.struct(F.substring(F.col("word"), F.lit(1), i).alias("node"), (i < F.length("word")).alias("goes_on"))))
-    return words.where("length(word) > 0").select("n", node.alias("p")).groupBy("p.node").agg(F.sum(F.when(~F.col("p.goes_on"), F.col("n")).otherwise(0)).alias("n_word"), F.sum(F.when(F.col("p.goes_on"), F.col("n")).otherwise(0)).alias("n_below"))
+            seen.update(found)
+        folded: Counter[str] = Counter()
+        for w, n in seen.items():
+            folded[w.casefold()] += n
+        yield pa.RecordBatch.from_arrays([pa.array(["end"] * len(out)), pa.nulls(len(out), pa.string()), pa.nulls(len(out), pa.int64()), *(pa.array([r[i] for r in out], k) for i, k in enumerate(kinds[3:]))], names=names)
+        m = len(folded)
+        yield pa.RecordBatch.from_arrays([pa.array(["word"] * m, pa.string()), pa.array(list(folded), pa.string()), pa.array(list(folded.values()), pa.int64()), *(pa.nulls(m, k) for k in kinds[3:])], names=names)
+
+
+def trie(words: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+    """The nodes of the vocabulary: every distinct prefix (of ``tokens`` (node), if given, those they may ask for), the occurrences of the word that ends there (0: none), and of the words that go on."""
+    words = words.where("length(word) > 0")
+    if tokens is None:
+        ways = words.withColumn("lengths", F.sequence(F.lit(1), F.length("word")))
+    else:
+        head = lambda c: F.substring(c, 1, HEAD)
+        asked = stored(tokens.select(head("node").alias("head"), F.length("node").alias("k")).groupBy("head").agg(F.collect_set("k").alias("lengths")), "heads")
+        # a token shorter than HEAD has a head that is shorter too: a word meets the heads of each length
+        ways = words.withColumn("head", F.explode(F.array_distinct(F.array(*[F.substring("word", 1, k) for k in range(1, HEAD + 1)]))))
+        ways = lookup(ways, asked, "head").withColumn("lengths", F.filter("lengths", lambda k: k <= F.length("word")))
+    node = F.explode(F.transform("lengths", lambda i: F.struct(F.substring(F.col("word"), F.lit(1), i).alias("node"), (i < F.length("word")).alias("goes_on"))))
+    return ways.select("n", node.alias("p")).groupBy("p.node").agg(F.sum(F.when(~F.col("p.goes_on"), F.col("n")).otherwise(0)).alias("n_word"), F.sum(F.when(F.col("p.goes_on"), F.col("n")).otherwise(0)).alias("n_below"))
 
 
 def _limits(ends: DataFrame, length: str) -> DataFrame:
@@ -192,12 +200,13 @@ def judged(documents: DataFrame, doc_id: str = "doc_id", source: str = "source",
     """One row per non-blank text: doc_id, source, cut, and the evidence (certain, word, sentence, closer, limit)."""
     rows = documents.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = rows.where("doc_id is not null and text is not null").where(F.col("text").rlike(r"[^\s\p{Z}\p{C}]"))
-    ends = rows.mapInArrow(_endings, ENDING).withColumns({"own": F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")), "line_key": _key(F.col("line")), "line_length": F.length("line")})
-    ends = stored(ends, "endings")
-
-    words = stored(vocabulary(rows), "vocabulary")
+    read = rows.mapInArrow(_read, ENDING).withColumns({"own": F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")), "line_key": _key(F.col("line")), "line_length": F.length("line")})
+    read = stored(read, "read-texts", ["kind"])
+    ends = read.where("kind = 'end'").drop("kind", "word", "n")
+    words = stored(read.where("kind = 'word'").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
     tokens = ends.where("token is not null").select(F.col("token").alias("node")).distinct()
-    halves = stored(tokens.join(trie(words), "node").select(F.col("node").alias("token"), "n_word", "n_below"), "last-words")
+    tokens = stored(tokens, "tokens")
+    halves = stored(lookup(trie(words, tokens), tokens, "node").select(F.col("node").alias("token"), "n_word", "n_below"), "last-words")
 
     longest = ends.groupBy("source").agg(F.max("n_chars").alias("longest"))
     limits = [stored(_limits(ends, k), f"limits-{k}") for k in ("n_chars", "n_bytes")]

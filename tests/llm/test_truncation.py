@@ -77,3 +77,21 @@ def test_trie(spark):
     words = spark.createDataFrame([("an", 3), ("and", 2), ("be", 1)], "word string, n bigint")
     nodes = {r["node"]: (r["n_word"], r["n_below"]) for r in truncation.trie(words).collect()}
     assert nodes == {"a": (0, 5), "an": (3, 2), "and": (2, 0), "b": (0, 1), "be": (1, 0)}
+
+
+def test_trie_of_asked_nodes(spark):
+    known = [("an", 3), ("and", 2), ("be", 1), ("a" * 200_000, 1), ("b" * 100_000 + "c", 4)]
+    words = spark.createDataFrame(known, "word string, n bigint")
+    asked = ["a", "an", "b", "bb", "bbb", "b" * 50_000, "zz", "anda"]
+    made = truncation.trie(words, spark.createDataFrame([(x,) for x in asked], "node string"))
+    nodes = {r["node"]: (r["n_word"], r["n_below"]) for r in made.collect()}
+    every = {r["node"]: (r["n_word"], r["n_below"]) for r in truncation.trie(words.where("length(word) < 10")).collect()}
+    for x in asked:
+        n_word, n_below = sum(n for w, n in known if w == x), sum(n for w, n in known if w != x and w.startswith(x))
+        assert nodes.get(x, (0, 0)) == (n_word, n_below), x
+    assert len(nodes) < 40 and every["an"] == (3, 2)
+
+
+@pytest.mark.parametrize("mark", ["lire la suite", "weiterlesen", "leer más", "[mehr]", "show more"])
+def test_marks_of_several_languages(mark):
+    assert truncation.ending(f"Der Wolf lief {mark}")[:2] == (False, True)
