@@ -112,10 +112,14 @@ def _width(name: Column, kind: T.DataType) -> Column:
 
 
 def fits(stored_table: DataFrame, limit: int | None = None) -> bool:
-    """Whether a stored table takes at most ``limit`` bytes in memory: its files are looked at first, then its rows and their width."""
+    """Whether a stored table of unique keys takes at most ``limit`` bytes in memory: its files are looked at first, then its rows and their width.
+
+    Files below a five-hundredth of the limit need no count: unique keys take about a byte of file at least, so there are too few rows.
+    """
     limit = BROADCAST_BYTES if limit is None else limit
-    if limit <= 0 or size_of(stored_table.sparkSession, stored_table.stored_path) > limit:
-        return False
+    size = size_of(stored_table.sparkSession, stored_table.stored_path) if limit > 0 else limit + 1
+    if size > limit or size <= limit // 500:
+        return size <= limit
     width = F.lit(16)
     for field in stored_table.schema:
         width = width + _width(F.col(f"`{field.name}`"), field.dataType)
