@@ -21,7 +21,7 @@ def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splits.out_of_home(_clips(spark, sf_dir), "motion_id", "object_type", "delivered").select(F.col("record").alias("motion_id"))
+    return splits.out_of_home(_clips(spark, sf_dir), "motion_id", "object_type", "delivered", ["source_group", "length"]).select(F.col("record").alias("motion_id"))
 
 
 def p2_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,16 @@ def p2_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.split_records(_clips(spark, sf_dir), "motion_id", ["object_type"], ["source_group", "length"]).select(F.col("record").alias("motion_id"), "component", "split")
 
 
+def p2_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per object_type: its distinct clips, the splits they were assigned to, and whether the whole assignment is within one point of 80/10/10."""
+    placed = splits.split_records(_clips(spark, sf_dir), "motion_id", ["object_type"], ["source_group", "length"])
+    shares = placed.groupBy().agg(*(F.avg((F.col("split") == s).cast("int")).alias(s) for s in splits.TARGETS))
+    near = [F.abs(F.col(s) - share) <= 0.01 for s, share in splits.TARGETS.items()]
+    near = shares.select((near[0] & near[1] & near[2]).alias("near"))
+    kept = placed.join(_clips(spark, sf_dir).select(F.col("motion_id").alias("record"), "object_type"), "record").groupBy("object_type")
+    return kept.agg(F.count(F.lit(1)).alias("n_clips"), F.count_distinct(F.when(F.col("object_type").isNotNull(), F.col("split"))).alias("n_splits")).join(F.broadcast(near))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents")).where("n_pieces > 1").select("doc_id").distinct()
 
@@ -37,6 +47,13 @@ def p6_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"))
 
 
+def p6_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per text what its containers hold of it: tokens, pieces, and whether no container of it is over-full or holds two texts at one place."""
+    places = packing.pack_texts(table(spark, sf_dir, "documents"))
+    fill = places.groupBy("container_id").agg((F.sum("n_tokens") <= packing.CAPACITY).alias("fits"), (F.sum("n_tokens") == F.max(F.col("at") + F.col("n_tokens"))).alias("apart"))
+    return places.join(fill, "container_id").groupBy("doc_id", "version").agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_pieces"), F.min(F.col("fits") & F.col("apart")).alias("in_place")).drop("version")
+
+
 def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per tier: containers, tokens and the share of space that stays unused."""
     fill = packing.container_fill(packing.pack_texts(table(spark, sf_dir, "documents")))
@@ -59,7 +76,7 @@ def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.source_shares(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_assigned, p6_found, p6_places, p6_fill, p7_found, p7_near, p8_found, p8_sources)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_assigned, p2_kept, p6_found, p6_places, p6_texts, p6_fill, p7_found, p7_near, p8_found, p8_sources)}
 
 ORACLE = {
     "p2_found": r"""
@@ -68,5 +85,9 @@ n AS (SELECT motion_id, o, CASE lower(regexp_replace(s, '^\s+|\s+$', '', 'g')) W
 k AS (SELECT o, s, count(*) AS n FROM n WHERE s IS NOT NULL GROUP BY ALL),
 h AS (SELECT o, arg_max(s, n) AS home FROM k GROUP BY o)
 SELECT motion_id FROM n JOIN h USING (o) WHERE s <> home""",
+    "p2_kept": """
+WITH c AS (SELECT motion_id, arg_min(coalesce(object_type, '~~'), ingested_at) AS o FROM clip WHERE motion_id IS NOT NULL GROUP BY motion_id)
+SELECT nullif(o, '~~') AS object_type, count(*) AS n_clips, CASE WHEN o = '~~' THEN 0 ELSE 1 END AS n_splits, true AS near FROM c GROUP BY o""",
+    "p6_texts": "SELECT doc_id, octet_length(encode(text)) + 1 AS n_tokens, CAST(ceil((octet_length(encode(text)) + 1) / 4096) AS BIGINT) AS n_pieces, true AS in_place FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)",
     "p6_found": "SELECT DISTINCT doc_id FROM documents WHERE octet_length(encode(text)) + 1 > 4096",
 }
