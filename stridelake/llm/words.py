@@ -4,6 +4,7 @@ punctuation, spacing, markup, invisible characters or hyphens at line ends."""
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 
 import regex
@@ -16,8 +17,11 @@ _LINK = regex.compile(r"(!?)\[([^\[\]]*)\]\((?:[^()\s]|\([^()\s]*\))*(?:\s+\"[^\
 _LIGHT = regex.compile(r"\*\*|~~|(?<=\p{L})\*(?=\p{L})")
 _INVISIBLE = regex.compile(r"[\p{Cf}\p{Cc}\p{Mn}\p{Me}ᅟᅠㅤﾠ--[\n\r\t\v\f]]", regex.V1)
 _HYPHEN = regex.compile(r"(?<=[\p{L}\p{N}])[-‐‑¬][ \t]*(?:\r\n?|\n| | )[\s>|*#]*(?=[\p{L}\p{N}])")
-_ODD_BREAK = regex.compile("[\u2028\u2029\x85]")
+_LINE_END = re.compile("[-‐‑¬][ \t]*[\n\r\u2028\u2029]")
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
+# the same for texts of ASCII alone, which need no tables
+_ASCII_WORD = re.compile(r"[A-Za-z0-9]+")
+_ASCII_INVISIBLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
 
 def plain(text: str) -> str:
@@ -35,16 +39,21 @@ def plain(text: str) -> str:
         text = _INVISIBLE.sub("", unicodedata.normalize("NFKD", text)).casefold()
         if not text.isascii():
             text = _INVISIBLE.sub("", unicodedata.normalize("NFKD", text))
-        return _LIGHT.sub("", text)
-    return _LIGHT.sub("", _INVISIBLE.sub("", text).lower())
+    else:
+        text = _ASCII_INVISIBLE.sub("", text).lower()
+    return _LIGHT.sub("", text) if "*" in text or "~" in text else text
+
+
+def _words(base: str) -> list[str]:
+    return (_ASCII_WORD if base.isascii() else _WORD).findall(base)
 
 
 def readings(text: str) -> list[list[str]]:
     """The words of the text; a second list where a hyphen at a line end may also part two words."""
     base = plain(text)
     joined = _HYPHEN.sub("", base)
-    first = _WORD.findall(joined)
-    return [first] if joined == base else [first, _WORD.findall(base)]
+    first = _words(joined)
+    return [first] if joined == base else [first, _words(base)]
 
 
 LONGEST_CHAIN = 16
@@ -57,9 +66,9 @@ def lattice(text: str) -> tuple[list[str], list[int], list[tuple[int, int, str]]
     Of a chain of more than LONGEST_CHAIN tied words, runs of up to so many are joined, and the whole chain.
     """
     base = plain(text)
-    ties = {m.start(): m.end() for m in _HYPHEN.finditer(base)} if "\n" in base or "\r" in base or _ODD_BREAK.search(base) else None
+    ties = {m.start(): m.end() for m in _HYPHEN.finditer(base)} if _LINE_END.search(base) else None
     if not ties:
-        return _WORD.findall(base), [], []
+        return _words(base), [], []
     spans = [m.span() for m in _WORD.finditer(base)]
     found = [base[a:b] for a, b in spans]
     tied = [i for i in range(len(spans) - 1) if ties.get(spans[i][1]) == spans[i + 1][0]]
