@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -52,12 +53,14 @@ ENDING = "kind string, word string, n bigint, doc_id bigint, source string, n_ch
 MARKS = ("…", "...", "[...]", "[…]", "(...)", "(…)", "[more]", "(more)", "[truncated]", "[cut]", "[continued]", "read more", "show more",
          "[suite]", "(suite)", "[à suivre]", "(à suivre)", "lire la suite", "voir plus", "[mehr]", "(mehr)", "[gekürzt]", "[fortsetzung folgt]", "weiterlesen", "mehr anzeigen", "mehr lesen",
          "[más]", "(más)", "[cortado]", "[continúa]", "(continúa)", "leer más", "ver más", "seguir leyendo")
+LONGEST_MARK = max(map(len, MARKS)) + 8  # as the case of a letter may change its length
 STOPS = ".!?。！？؟।"
 WRAPS = "\"'»”’›)]}*_`"
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 _WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-_LAST = regex.compile(r"\p{L}[\p{L}\p{M}]*$")
+_ASCII_WORDS = re.compile("[A-Za-z]+")
+_LAST = regex.compile(r"(?r)\p{L}[\p{L}\p{M}]*$")
 _UNSEEN = regex.compile(r"[\p{Cf}--[\n]]", regex.V1)
 _ANY_TAG = regex.compile(r"<[^<>]*>?")
 _ELEMENT = regex.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*?)?(/?)>")
@@ -92,7 +95,7 @@ def _markup(text: str) -> tuple[bool, bool]:
 
 def ending(text: str) -> tuple[bool, bool, str, str | None, str]:
     """closed, certain (a cut by itself), form of the last line, last token where the text stops behind a letter, last line, where it is not closed running text, with digits as #."""
-    whole = _UNSEEN.sub("", text).rstrip()
+    whole = (text if text.isascii() else _UNSEEN.sub("", text)).rstrip()
     if whole[-1] == "�" or "\ud800" <= whole[-1] <= "\udfff":
         return False, True, "text", None, ""
     marked, left_open = _markup(whole)
@@ -101,13 +104,11 @@ def ending(text: str) -> tuple[bool, bool, str, str | None, str]:
     if marked:
         body = html.unescape(_ANY_TAG.sub("", whole)).rstrip() or whole
     omitted = False
-    again = True
-    while again:
-        again = False
-        for mark in MARKS:
-            if body.lower().endswith(mark):
-                body, omitted, again = body[: -len(mark)].rstrip(), True, True
-    body = _TAGGED.sub("", body).rstrip() if not omitted else body
+    while body[-LONGEST_MARK:].lower().endswith(MARKS):
+        body = next(body[: -len(m)] for m in MARKS if body[-LONGEST_MARK:].lower().endswith(m)).rstrip()
+        omitted = True
+    if not omitted and body.endswith("]"):
+        body = _TAGGED.sub("", body).rstrip()
     line = body.rsplit("\n", 1)[-1].strip() if body else ""
     bare = body.rstrip(WRAPS + " ")
     closed = bool(bare) and bare[-1] in STOPS or marked and not left_open and not half and not omitted
@@ -115,7 +116,7 @@ def ending(text: str) -> tuple[bool, bool, str, str | None, str]:
         form = "list"
     elif _SIGNED.search(line):
         form = "sign"
-    elif _SYMBOL.search(body):
+    elif _SYMBOL.search(body[-4:]):
         form = "sign"
     else:
         form = "text"
@@ -137,8 +138,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append((doc, source, len(text), len(raw) if len(half) == len(text) else len(half.encode("utf-8", "surrogatepass")), *ending(text), hashlib.md5(raw).digest()))
             clean = text if text.isascii() else _UNSEEN.sub("", text)
             clean = (_ANY_TAG.sub(" ", clean) if "<" in clean else clean).rstrip()
-            found = _WORDS.findall(clean)
-            if found and (clean[-1].isalpha() or clean[-1] == "\ufffd" or clean.lower().endswith(MARKS)):
+            found = (_ASCII_WORDS if clean.isascii() else _WORDS).findall(clean)
+            if found and (clean[-1].isalpha() or clean[-1] == "\ufffd" or clean[-LONGEST_MARK:].lower().endswith(MARKS)):
                 found.pop()
             seen.update(found)
         folded: Counter[str] = Counter()
