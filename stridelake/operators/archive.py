@@ -123,13 +123,15 @@ _FRAME = re.compile("^\ufeff? *([0-9]+)(?= *$|[^\\S\n]*,)", re.M)
 
 
 def _plain_lines(payload: str) -> str:
-    return payload.replace("\r\n", "\n").replace("\r", "\n")
+    return payload.replace("\r\n", "\n").replace("\r", "\n") if "\r" in payload else payload
 
 
 def _frames(payload: str | None) -> list[str]:
     """The distinct record numbers of a file, in numeric order, without leading zeros."""
-    found = {x.lstrip("0") or "0" for x in _FRAME.findall(_plain_lines(payload))} if payload else ()
-    return sorted(found, key=lambda x: (len(x), x))
+    found = _FRAME.findall(_plain_lines(payload)) if payload else ()
+    if all(len(x) < 1000 for x in found):
+        return [str(x) for x in sorted({int(x) for x in found})]
+    return sorted({x.lstrip("0") or "0" for x in found}, key=lambda x: (len(x), x))
 
 
 SETS = "file_id bigint, clip string, frames array<string>, n int, digest binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
