@@ -42,18 +42,23 @@ _MEMBER = pa.struct([("file_id", pa.int64()), ("motion_id", pa.string()), ("path
 FILES = "file_id bigint, motion_id string, path string, block_id string, offset bigint, length bigint, crc bigint, intact boolean, payload string"
 
 
+def _member_list(columns: list[list]) -> pa.Array:
+    struct = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _MEMBER)], fields=list(_MEMBER))
+    return pa.ListArray.from_arrays(pa.array([0, len(struct)], pa.int32()), struct)
+
+
 def _packer(block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, made = TaskContext.get().partitionId(), 0
-        data, members = bytearray(), []
+        data, members = bytearray(), [[] for _ in _MEMBER]
 
         def block() -> pa.RecordBatch:
             nonlocal data, members, made
-            row = pa.RecordBatch.from_arrays([pa.array([f"{part:06d}-{made:06d}"]), pa.array([bytes(data)], pa.binary()), pa.array([members], pa.list_(_MEMBER))], names=["block_id", "data", "members"])
+            row = pa.RecordBatch.from_arrays([pa.array([f"{part:06d}-{made:06d}"]), pa.array([bytes(data)], pa.binary()), _member_list(members)], names=["block_id", "data", "members"])
             made += 1
-            data, members = bytearray(), []
+            data, members = bytearray(), [[] for _ in _MEMBER]
             return row
 
         for batch in batches:
@@ -61,9 +66,10 @@ def _packer(block_bytes: int):
                 raw = b"" if payload is None else payload.encode()
                 if data and len(data) + len(raw) > block_bytes:
                     yield block()
-                members.append({"file_id": file_id, "motion_id": clip, "path": path, "offset": len(data), "length": None if payload is None else len(raw), "crc": zlib.crc32(raw)})
+                for column, v in zip(members, (file_id, clip, path, len(data), None if payload is None else len(raw), zlib.crc32(raw))):
+                    column.append(v)
                 data += raw
-        if members:
+        if members[0]:
             yield block()
 
     return run
@@ -103,15 +109,17 @@ def index(blocks: DataFrame) -> DataFrame:
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block_id, data, members in zip(*(batch.column(k).to_pylist() for k in ("block_id", "data", "members"))):
-            out = []
-            for m in members:
-                raw = data[m["offset"] : m["offset"] + (m["length"] or 0)]
-                out.append(m | {"block_id": block_id, "intact": zlib.crc32(raw) == m["crc"], "payload": None if m["length"] is None else raw.decode()})
-            if out:
-                names = ["file_id", "motion_id", "path", "block_id", "offset", "length", "crc", "intact", "payload"]
-                kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in zip(names, kinds)], names=names)
+        for block_id, data, members in zip(batch.column("block_id"), batch.column("data"), batch.column("members")):
+            file_id, clip, path, offset, length, crc = members.values.flatten()
+            if not len(file_id):
+                continue
+            whole = data.as_py()
+            places = list(zip(offset.to_pylist(), length.to_pylist(), crc.to_pylist()))
+            raw = [whole[at : at + (n or 0)] for at, n, _ in places]
+            intact = [zlib.crc32(r) == c for r, (_, _, c) in zip(raw, places)]
+            payload = pa.array([None if n is None else r.decode(errors="replace") for r, (_, n, _) in zip(raw, places)], pa.string())
+            names = ["file_id", "motion_id", "path", "block_id", "offset", "length", "crc", "intact", "payload"]
+            yield pa.RecordBatch.from_arrays([file_id, clip, path, pa.array([block_id.as_py()] * len(raw)), offset, length, crc, pa.array(intact), payload], names=names)
 
 
 def unpack(blocks: DataFrame) -> DataFrame:
