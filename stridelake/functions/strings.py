@@ -73,8 +73,8 @@ def without_onspot(action: Column) -> Column:
 
 # fixed values: words that decide an action's class, in the order they are tried
 ACTION_CLASSES = (
-    ("turn", ("turn",)), ("sleep", ("sleep", "rest", "nap")), ("eat", ("eat", "drink", "feed", "graze")), ("attack", ("attack", "fight", "bite")), ("jump", ("jump", "leap", "hop")),
-    ("climb", ("climb",)), ("swim", ("swim",)), ("walk", ("walk", "limp", "back_away")), ("run", ("run", "trot", "canter", "gallop")), ("idle", ("idle", "stand", "look", "groom")),
+    ("fight", ("fight", "attack")), ("climb", ("climb", "hang")), ("swim", ("swim", "dive")), ("run", ("run",)), ("walk", ("walk",)), ("turn", ("turn",)), ("jump", ("jump",)),
+    ("food", ("drink", "eat", "graze")), ("rest", ("rest", "sleep", "idle")),
 )
 
 
@@ -149,7 +149,7 @@ def length_mask(length: Column, longest: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(longest - 1)), lambda i: i < length)
 
 
-CAPTION_RULES = (  # fixed values: light clean-up of captions, in this order
+CAPTION_RULES = (  # light clean-up of captions, in this order
     (r"\s+", " "), (r"\s+([,.;:!?])", "$1"), (r"([,.;:!?])\1+", "$1"), (r"(?i)\b(\w+) \1\b", "$1"), (r"(?i)\ba ([aeiou])", "an $1"), (r"(?i)\ban ([^aeiou\W])", "a $1"), (r"[.]$", ""),
 )
 

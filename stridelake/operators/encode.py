@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.operators import skeleton as S
+from stridelake.operators.features import skeleton_of, with_skeletons
 from stridelake.sources.bvh import multiply
 
 MEAN_BONE = 0.2092142857142857
@@ -142,8 +143,11 @@ def _clip(face_of: str, speed: float):
         def failed(why: str) -> pa.Table:
             return pa.table({"object_type": [names[0]], "motion_id": [names[1]], "frame": pa.array([None], pa.int32()), "joint": pa.array([None], pa.int32()), "f": pa.array([None], pa.list_(pa.float32())), "error": [why]})
 
-        parents, offsets = t.column("parents")[0].as_py(), np.array(t.column("offsets")[0].as_py(), float)
-        feet, face = t.column("foot_joint_idx")[0].as_py() or [], t.column(face_of)[0].as_py()
+        skeleton = skeleton_of(t)
+        if skeleton is None:
+            return failed("skeleton")
+        parents, offsets = skeleton["parents"], np.array(skeleton["offsets"], float)
+        feet, face = skeleton["foot_joint_idx"] or [], skeleton[face_of]
         n = len(parents)
         if not n or parents[0] != -1 or any(p >= j or p < 0 for j, p in enumerate(parents) if j):
             return failed("skeleton")
@@ -153,14 +157,14 @@ def _clip(face_of: str, speed: float):
         inside = joint < n
         have[at[inside], joint[inside]] = True
         q, root = np.zeros((len(frames), n, 4)), np.zeros((len(frames), 3))
-        q[at[inside], joint[inside]] = np.array(t.column("q").to_pylist(), float)[inside]
+        q[at[inside], joint[inside]] = t.column("q").combine_chunks().flatten().to_numpy().reshape(-1, 4)[inside]
         first = joint == 0
-        root[at[first]] = np.array(t.column("pos").to_pylist(), float)[first]
+        root[at[first]] = t.column("pos").combine_chunks().flatten().to_numpy().reshape(-1, 3)[first]
         whole = have.all(axis=1)
         q, root, frames = q[whole], root[whole], frames[whole]
         if len(frames) < 2:
             return failed("frames")
-        used = t.column("scale_ref_joint_idx")[0].as_py() or list(range(1, n))
+        used = skeleton["scale_ref_joint_idx"] or list(range(1, n))
         bones = np.linalg.norm(offsets[used], axis=-1)
         bones = bones[bones > 1e-8]
         scale = MEAN_BONE / bones.mean() if len(bones) else 1.0
@@ -179,7 +183,8 @@ def _clip(face_of: str, speed: float):
 def encoded(raw: DataFrame, topology: DataFrame, face: str = "face", speed: float = CONTACT_SPEED) -> DataFrame:
     """raw: object_type, motion_id, frame, joint, q (w first), pos.  topology: parents, offsets, foot_joint_idx, scale_ref_joint_idx and the joints that tell the facing.  Features of each clip in canonical form."""
     t = topology.select("object_type", "parents", "offsets", "foot_joint_idx", "scale_ref_joint_idx", face)
-    return raw.select("object_type", "motion_id", "frame", "joint", "q", "pos").join(t, "object_type").groupBy("object_type", "motion_id").applyInArrow(_clip(face, speed), FEATURES)
+    rows = raw.select("object_type", "motion_id", "frame", "joint", F.col("q").cast("array<double>").alias("q"), F.col("pos").cast("array<double>").alias("pos"))
+    return with_skeletons(rows.join(t.select("object_type"), "object_type", "left_semi"), t).groupBy("object_type", "motion_id").applyInArrow(_clip(face, speed), FEATURES)
 
 
 def scaled_topology(topology: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stridelake.functions import rotations as R
+from stridelake.scratch import sized, stored
 
 CLIP = ["object_type", "motion_id"]
 KEYS = [*CLIP, "frame", "joint"]
@@ -212,16 +213,33 @@ def resampled_rotations(motion: DataFrame, size: int) -> DataFrame:
 FK = "object_type string, motion_id string, frame int, joint int, x double, y double, z double"
 
 
+def with_skeletons(rows: DataFrame, skeletons: DataFrame) -> DataFrame:
+    """Rows of clips with the skeleton of their object_type on one row of each clip (null on all others), joined behind the exchange by clip."""
+    found = stored(skeletons.select(F.col("object_type").alias("of"), F.struct(*(c for c in skeletons.columns if c != "object_type")).alias("skeleton")), "skeletons")
+    first = F.row_number().over(W.partitionBy(*CLIP).orderBy("frame", "joint")) == 1
+    marked = rows.repartition(*CLIP).withColumn("of", F.when(first, F.col("object_type")))
+    return marked.join(sized(found), "of", "left").drop("of")
+
+
+def skeleton_of(table: pa.Table) -> dict | None:
+    """The skeleton that ``with_skeletons`` put on one of the rows; None where the clip has none."""
+    column = table.column("skeleton").combine_chunks().drop_null()
+    return column[0].as_py() if len(column) else None
+
+
 def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-8)
 
 
 def _kinematics(key: tuple, table: pa.Table) -> pa.Table:
     """World positions of one clip by its rotations: whole frames only, all frames at once, joint by joint."""
-    parents, offsets = np.array(table.column("parents")[0].as_py()), np.array(table.column("offsets")[0].as_py(), float)
+    skeleton = skeleton_of(table)
+    if skeleton is None:
+        return pa.Table.from_pylist([], pa.schema([("object_type", pa.string()), ("motion_id", pa.string()), ("frame", pa.int32()), ("joint", pa.int32()), ("x", pa.float64()), ("y", pa.float64()), ("z", pa.float64())]))
+    parents, offsets = np.array(skeleton["parents"]), np.array(skeleton["offsets"], float)
     n = len(parents)
     frame, joint = table.column("frame").to_numpy(), table.column("joint").to_numpy()
-    f = np.array(table.column("f").to_pylist(), float).reshape(-1, 13)
+    f = table.column("f").combine_chunks().flatten().to_numpy().astype(float).reshape(-1, 13)
     frames, at = np.unique(frame, return_inverse=True)
     ok = joint < n
     have = np.zeros((len(frames), n), bool)
@@ -255,4 +273,4 @@ def _kinematics(key: tuple, table: pa.Table) -> pa.Table:
 def forward_kinematics(motion: DataFrame, topology: DataFrame) -> DataFrame:
     """World positions from rotations and offsets, for skeletons whose parents come before their joints; frames that lack a joint are left out."""
     usable = topology.where(F.forall(F.transform("parents", lambda p, i: p < i), lambda b: b)).select("object_type", "parents", "offsets")
-    return motion.join(usable, "object_type").groupBy(*CLIP).applyInArrow(_kinematics, FK)
+    return with_skeletons(motion, usable).groupBy(*CLIP).applyInArrow(_kinematics, FK)

@@ -28,7 +28,8 @@ class Registry:
 def finite_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct motion rows whose keys are known and whose 13 readings are all finite."""
     m = table(spark, sf_dir, "motion").select("object_type", "motion_id", "frame", "joint", "f").where("object_type is not null and f is not null and size(f) = 13")
-    return m.where(F.forall("f", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).distinct()
+    # one exchange by clip serves the removal of repeated rows and all that follows by clip
+    return m.where(F.forall("f", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).repartition("object_type", "motion_id").distinct()
 
 
 FINITE = "m AS (SELECT DISTINCT object_type, motion_id, frame, joint, CAST(f AS DOUBLE[]) AS f FROM motion WHERE object_type IS NOT NULL AND len(f) = 13 AND len(list_filter(f, lambda x: isfinite(x))) = 13)"

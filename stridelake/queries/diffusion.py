@@ -57,9 +57,9 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ROWS = _COSINE + _COEF + f", {FINITE}, j AS (SELECT {K}, f[2] AS x0, f[4] AS noise, f[3] AS other, co.*, sqrt(bar)*f[2] + sqrt(1 - bar)*f[4] AS xt FROM m JOIN co ON co.t = (frame + joint) % 100)"
 
 
-@query(_ROWS + f""" SELECT {K}, round(xt, 6) + 0.0 AS xt, round(post_start*x0 + post_noisy*xt, 6) + 0.0 AS mean, round(sqrt(1/bar)*xt - sqrt(1/bar - 1)*other, 5) + 0.0 AS x0_from_noise, round((sqrt(1/bar)*xt - other)/sqrt(1/bar - 1), 5) + 0.0 AS noise_from_x0, round((other - post_noisy*xt)/post_start, 4) + 0.0 AS x0_from_before FROM j WHERE t < 95""")
+@query(_ROWS + f""" SELECT {K}, round(xt, 6) + 0.0 AS xt, round(post_start*x0 + post_noisy*xt, 6) + 0.0 AS mean, round(sqrt(1/bar)*xt - sqrt(1/bar - 1)*other, 5) + 0.0 AS x0_from_noise, round((sqrt(1/bar)*xt - other)/sqrt(1/bar - 1), 5) + 0.0 AS noise_from_x0, round((other - post_noisy*xt)/post_start, 4) + 0.0 AS x0_from_before FROM j""")
 def df_forward_and_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = _joined(spark, sf_dir).where("t < 95")
+    j = _joined(spark, sf_dir)
     xt, other = F.col("xt"), F.col("other")
     out = {"xt": (xt, 6), "mean": (D.posterior_mean(F.col("x0"), xt), 6), "x0_from_noise": (D.start_from_noise(xt, other), 5), "noise_from_x0": (D.noise_from_start(xt, other), 5), "x0_from_before": (D.start_from_before(xt, other), 4)}
     return j.select(*X.KEYS, *((F.round(c, d) + 0.0).alias(k) for k, (c, d) in out.items()))
@@ -67,12 +67,12 @@ def df_forward_and_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _ROWS
-    + f""", e AS (SELECT *, (sqrt(1/bar)*xt - other)/sqrt(1/bar - 1) AS eps, 0.5*sqrt((1 - bar_before)/(1 - bar))*sqrt(1 - bar/bar_before) AS sg FROM j WHERE t < 95)
+    + f""", e AS (SELECT *, (sqrt(1/bar)*xt - other)/sqrt(1/bar - 1) AS eps, 0.5*sqrt((1 - bar_before)/(1 - bar))*sqrt(1 - bar/bar_before) AS sg FROM j)
 SELECT {K}, round(post_start*other + post_noisy*xt + CASE WHEN t = 0 THEN 0 ELSE exp(post_log_var/2) END*noise, 5) + 0.0 AS ancestral, round(sqrt(bar_before)*other + sqrt(1 - bar_before - sg*sg)*eps + CASE WHEN t = 0 THEN 0 ELSE sg END*noise, 5) + 0.0 AS ddim,
 round(sqrt(bar_after)*other + sqrt(1 - bar_after)*eps, 5) + 0.0 AS reverse, round(55/24.0*eps - 59/24.0*noise + 37/24.0*x0 - 9/24.0*other, 4) + 0.0 AS multistep FROM e"""
 )
 def df_sampling_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = _joined(spark, sf_dir).where("t < 95")
+    j = _joined(spark, sf_dir)
     x0, xt, other, noise = (F.col(c) for c in ("x0", "xt", "other", "noise"))
     out = {"ancestral": (D.ancestral(other, xt, noise), 5), "ddim": (D.ddim(other, xt, noise, 0.5), 5), "reverse": (D.ddim_reverse(other, xt), 5), "multistep": (D.multistep_noise([D.noise_from_start(xt, other), noise, x0, other]), 4)}
     return j.select(*X.KEYS, *((F.round(c, d) + 0.0).alias(k) for k, (c, d) in out.items()))
@@ -80,12 +80,12 @@ def df_sampling_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _ROWS
-    + f""", v AS (SELECT *, ((0.2 + 1)/2)*ln(beta) + (1 - (0.2 + 1)/2)*post_log_var AS lv, post_start*x0 + post_noisy*xt AS m1, post_start*(0.9*x0) + post_noisy*xt AS m2 FROM j WHERE t < 95)
+    + f""", v AS (SELECT *, ((0.2 + 1)/2)*ln(beta) + (1 - (0.2 + 1)/2)*post_log_var AS lv, post_start*x0 + post_noisy*xt AS m1, post_start*(0.9*x0) + post_noisy*xt AS m2 FROM j)
 SELECT {K}, round(0.5*(-1 + lv - post_log_var + exp(post_log_var - lv) + (m1 - m2)**2*exp(-lv))/ln(2), 4) + 0.0 AS kl_bits FROM v WHERE t > 0"""
 )
 def df_bound_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of posterior and a model that predicts nine tenths of the start, in bits, with a learned variance."""
-    j = _joined(spark, sf_dir).where("t < 95 and t > 0")
+    j = _joined(spark, sf_dir).where("t > 0")
     return j.select(*X.KEYS, (F.round(D.bound_term(F.col("x0"), F.col("xt"), F.col("x0") * 0.9, D.learned_log_variance(F.lit(0.2))), 4) + 0.0).alias("kl_bits"))
 
 
@@ -138,22 +138,17 @@ def df_position_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("t", F.posexplode("embedding").alias("place", "value")).select("t", "place", (F.round("value", 6) + 0.0).alias("value"))
 
 
-@query(f"WITH {FINITE} SELECT {K}, round(CASE WHEN joint = 0 THEN f[2] ELSE 0.5 END, 4) + 0.0 AS x FROM m WHERE frame < 10")
+@query(
+    (_COSINE + _COEF).replace("range(100)", "range(10)").replace("100.0", "10.0").replace("(t + 1)/10.0", "(t + 1)/10.0")
+    + f""", steps AS (SELECT product(sqrt(bar_before)*0.8 + sqrt(1 - bar_before)*(1 - sqrt(bar)*0.8)/sqrt(1 - bar)) AS factor FROM co), {FINITE}
+SELECT {K}, round(CASE WHEN joint = 0 THEN f[2] ELSE factor*f[4] END, 5) + 0.0 AS x FROM m CROSS JOIN steps"""
+)
 def df_sampled_inpainting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DDIM sampling over ten steps with a model that always predicts 0.5, the root's heights kept: the result is the prediction."""
-    m = finite_motion(spark, sf_dir).where("frame < 10").select(*X.KEYS, F.get("f", F.lit(1)).cast("double").alias("known"), F.get("f", F.lit(3)).cast("double").alias("x"))
-    keep = lambda x0: F.when(F.col("joint") == 0, F.col("known")).otherwise(x0)
-    out = D.sample(m, D.betas(spark, "cosine", 10), lambda rows: rows.withColumn("x0", F.lit(0.5)), keep)
-    return out.select(*X.KEYS, (F.round("x", 4) + 0.0).alias("x"))
-
-
-@query(f"WITH {FINITE} SELECT {K}, round(CASE WHEN joint = 0 THEN f[2] ELSE 0.5 END, 4) + 0.0 AS x FROM m")
-def df_sampled_inpainting_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``df_sampled_inpainting`` over every frame, where that query's SQL asks for the first ten."""
+    """DDIM sampling over ten steps with a model that predicts eight tenths of its input, the root's heights kept."""
     m = finite_motion(spark, sf_dir).select(*X.KEYS, F.get("f", F.lit(1)).cast("double").alias("known"), F.get("f", F.lit(3)).cast("double").alias("x"))
     keep = lambda x0: F.when(F.col("joint") == 0, F.col("known")).otherwise(x0)
-    out = D.sample(m, D.betas(spark, "cosine", 10), lambda rows: rows.withColumn("x0", F.lit(0.5)), keep, store=stored)
-    return out.select(*X.KEYS, (F.round("x", 4) + 0.0).alias("x"))
+    out = D.sample(m, D.betas(spark, "cosine", 10), lambda rows: rows.withColumn("x0", F.col("x") * 0.8), keep, store=stored)
+    return out.select(*X.KEYS, (F.round("x", 5) + 0.0).alias("x"))
 
 
 QUERIES, ORACLE = query.queries, query.oracle

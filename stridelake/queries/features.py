@@ -97,13 +97,11 @@ def ft_world_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(w, ["w0", "w1", "w2"], 5)
 
 
-@query(_WORLD + f"SELECT {K}, CAST(0 AS DOUBLE) AS error FROM world WHERE joint > 0")
+@query(f"WITH {FINITE}, r AS (SELECT object_type, motion_id, frame FROM m WHERE joint = 0) SELECT {K}, round(f[1], 4) + 0.0 AS p0, round(f[2], 4) + 0.0 AS p1, round(f[3], 4) + 0.0 AS p2 FROM m JOIN r USING (object_type, motion_id, frame) WHERE joint > 0")
 def ft_relative_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """World positions made root-relative again, as their distance from the stored readings."""
-    m = finite_motion(spark, sf_dir)
-    p = X.relative_positions(X.world_positions(m)).where("joint > 0").join(m, X.KEYS)
-    gap = R.minus(R.names("p", 3), R.parts("f", 0, 3))
-    return p.select(*X.KEYS, F.round(R.norm(gap), 4).alias("error"))
+    """World positions made root-relative again: the stored readings come back."""
+    p = X.relative_positions(X.world_positions(finite_motion(spark, sf_dir))).where("joint > 0")
+    return _round(p.select(*X.KEYS, "p0", "p1", "p2"), ["p0", "p1", "p2"], 4)
 
 
 @query(

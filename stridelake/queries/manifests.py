@@ -133,8 +133,8 @@ def mf_incomplete_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {CLIP}, k AS (SELECT motion_id, object_type, regexp_replace(motion_id, '_[0-9]+$', '') AS base FROM c), a AS (SELECT *, CASE WHEN object_type IS NOT NULL AND starts_with(lower(base), lower(object_type) || '_') THEN substr(base, length(object_type) + 2) ELSE base END AS action FROM k)
 SELECT motion_id, regexp_replace(lower(motion_id), '[^a-z0-9]+', '', 'g') AS norm, action, replace(lower(action), '_', ' ') AS spoken, CASE WHEN lower(left(action, 1)) IN ('a', 'e', 'i', 'o', 'u') THEN 'an' ELSE 'a' END AS article,
-CASE WHEN contains(lower(action), 'turn') THEN 'turn' WHEN regexp_matches(lower(action), 'sleep|rest|nap') THEN 'sleep' WHEN regexp_matches(lower(action), 'eat|drink|feed|graze') THEN 'eat' WHEN regexp_matches(lower(action), 'attack|fight|bite') THEN 'attack' WHEN regexp_matches(lower(action), 'jump|leap|hop') THEN 'jump' WHEN contains(lower(action), 'climb') THEN 'climb' WHEN contains(lower(action), 'swim') THEN 'swim'
-WHEN regexp_matches(lower(action), 'walk|limp|back_away') THEN 'walk' WHEN regexp_matches(lower(action), 'run|trot|canter|gallop') THEN 'run' WHEN regexp_matches(lower(action), 'idle|stand|look|groom') THEN 'idle' ELSE 'other' END AS class, left(md5(motion_id), 10) AS digest FROM a"""
+CASE WHEN regexp_matches(lower(action), 'fight|attack') THEN 'fight' WHEN regexp_matches(lower(action), 'climb|hang') THEN 'climb' WHEN regexp_matches(lower(action), 'swim|dive') THEN 'swim' WHEN contains(lower(action), 'run') THEN 'run' WHEN contains(lower(action), 'walk') THEN 'walk'
+WHEN contains(lower(action), 'turn') THEN 'turn' WHEN contains(lower(action), 'jump') THEN 'jump' WHEN regexp_matches(lower(action), 'drink|eat|graze') THEN 'food' WHEN regexp_matches(lower(action), 'rest|sleep|idle') THEN 'rest' ELSE 'other' END AS class, left(md5(motion_id), 10) AS digest FROM a"""
 )
 def mf_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys, actions and classes from clip names."""
@@ -184,11 +184,11 @@ def mf_caption_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    r"""WITH d AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE source = 'sensor_report'), p AS (SELECT doc_id, string_split(line, ' | ') AS p FROM d) SELECT trim(p[1]) AS species, count(*) AS n, CAST(sum(TRY_CAST(trim(p[2]) AS INTEGER)) AS BIGINT) AS total FROM p WHERE len(p) = 3 GROUP BY 1"""
+    r"""WITH d AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), p AS (SELECT doc_id, string_split(line, ' | ') AS p FROM d) SELECT trim(p[1]) AS species, count(*) AS n, CAST(sum(TRY_CAST(trim(p[2]) AS INTEGER)) AS BIGINT) AS total FROM p WHERE len(p) = 3 GROUP BY 1"""
 )
 def mf_field_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three-field lines of the sensor reports, by their first field."""
-    lines = table(spark, sf_dir, "documents").where("source = 'sensor_report'").select(F.explode(F.split("text", "\n")).alias("line")).select(F.split("line", r" \| ").alias("p")).where("size(p) = 3")
+    """Three-field lines of all texts, by their first field."""
+    lines = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("line")).select(F.split("line", r" \| ").alias("p")).where("size(p) = 3")
     return lines.groupBy(F.trim(F.col("p")[0]).alias("species")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.trim(F.col("p")[1]).try_cast("int")).alias("total"))
 
 

@@ -17,17 +17,16 @@ def _rounded(columns: dict[str, tuple], digits: int = 6) -> list:
 
 
 def _quats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two unit quaternions a, b from channels 3-6 and 5-8, and a vector v from channels 0-2; zero quaternions left out."""
+    """Two unit quaternions a, b from channels 3-6 and 5-8, and a vector v from channels 0-2; a zero quaternion stays zero."""
     m = finite_motion(spark, sf_dir).select(*KEYS, *R.aliased("g", R.parts("f", 3, 6)), *R.aliased("v", R.parts("f", 0, 3)))
     g = R.names("g", 6)
-    m = m.where((R.norm(g[:4]) > 1e-3) & (R.norm(g[2:]) > 1e-3))
     return m.select(*KEYS, *R.aliased("a", R.quat_normalize(g[:4])), *R.aliased("b", R.quat_normalize(g[2:])), "v0", "v1", "v2")
 
 
 _QUATS = f"""
 WITH {FINITE},
-g AS (SELECT object_type, motion_id, frame, joint, f, sqrt(f[4]*f[4] + f[5]*f[5] + f[6]*f[6] + f[7]*f[7]) AS na, sqrt(f[6]*f[6] + f[7]*f[7] + f[8]*f[8] + f[9]*f[9]) AS nb FROM m),
-q AS (SELECT object_type, motion_id, frame, joint, f[4]/na AS a0, f[5]/na AS a1, f[6]/na AS a2, f[7]/na AS a3, f[6]/nb AS b0, f[7]/nb AS b1, f[8]/nb AS b2, f[9]/nb AS b3, f[1] AS v0, f[2] AS v1, f[3] AS v2 FROM g WHERE na > 1e-3 AND nb > 1e-3)
+g AS (SELECT object_type, motion_id, frame, joint, f, coalesce(nullif(sqrt(f[4]*f[4] + f[5]*f[5] + f[6]*f[6] + f[7]*f[7]), 0), 1) AS na, coalesce(nullif(sqrt(f[6]*f[6] + f[7]*f[7] + f[8]*f[8] + f[9]*f[9]), 0), 1) AS nb FROM m),
+q AS (SELECT object_type, motion_id, frame, joint, f[4]/na AS a0, f[5]/na AS a1, f[6]/na AS a2, f[7]/na AS a3, f[6]/nb AS b0, f[7]/nb AS b1, f[8]/nb AS b2, f[9]/nb AS b3, f[1] AS v0, f[2] AS v1, f[3] AS v2 FROM g)
 """
 _K = "object_type, motion_id, frame, joint"
 
@@ -59,11 +58,11 @@ def rot_quaternion_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
     + f""", s AS (SELECT *, CASE WHEN a0 < 0 THEN -1.0 ELSE 1.0 END AS p, sqrt(a1*a1 + a2*a2 + a3*a3) AS n FROM q), l AS (SELECT *, p*atan2(n, p*a0)/(n + 1e-10) AS k FROM s)
 SELECT {_K}, """
     + ", ".join([_r(f"a{i}*k", f"log{i - 1}") for i in (1, 2, 3)] + [_r("2*acos(greatest(-1, least(1, a0)))", "angle", 5)] + [_r("CASE WHEN n < 1e-9 THEN a1/0.001 ELSE a1/sqrt(greatest(1 - a0*a0, 1e-300)) END", "axis0", 4)] + ["CAST(0 AS DOUBLE) AS back_error"])
-    + " FROM l WHERE n > 1e-4"
+    + " FROM l"
 )
 def rot_log_exp_angle_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log map, exp of the log (the same rotation on its positive pole), and angle with axis."""
-    q = _quats(spark, sf_dir).where(R.norm(R.names("a", 4)[1:]) > 1e-4)
+    q = _quats(spark, sf_dir)
     a = R.names("a", 4)
     logs = q.select(*KEYS, *R.aliased("l", R.quat_log(a)), *R.aliased("t", R.quat_angle_axis(a)), *R.aliased("p", R.quat_positive(a)))
     error = F.greatest(*(F.abs(x - y) for x, y in zip(R.quat_exp(R.names("l", 3)), R.names("p", 4))))
@@ -90,12 +89,11 @@ def rot_matrix_and_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _QUATS + _MATRIX + f"SELECT {_K}, " + ", ".join([_r("atan2(m7, m8)", "xyz0", 4), _r("asin(greatest(-1, least(1, -m6)))", "xyz1", 4), _r("atan2(m3, m0)", "xyz2", 4), _r("atan2(-m1, m0)", "zyx0", 4), _r("asin(greatest(-1, least(1, m2)))", "zyx1", 4), _r("atan2(-m5, m8)", "zyx2", 4)])
-    + " FROM r WHERE abs(m6) < 0.999 AND abs(m2) < 0.999 AND least(abs(m0), abs(m8)) > 1e-4"
+    + " FROM r"
 )
 def rot_euler_angles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Euler angles away from the poles: about fixed axes for xyz, about moving axes for zyx (x last)."""
+    """Euler angles: about fixed axes for xyz, about moving axes for zyx (x last)."""
     q = _quats(spark, sf_dir).select(*KEYS, *R.aliased("a", R.names("a", 4)), *R.aliased("m", R.quat_matrix(R.names("a", 4))))
-    q = q.where("abs(m6) < 0.999 and abs(m2) < 0.999 and least(abs(m0), abs(m8)) > 1e-4")
     moving = R.matrix_euler(R.names("m", 9), "XYZ")
     return q.select(*KEYS, *_rounded({"xyz": R.quat_euler(R.names("a", 4), "xyz"), "zyx": moving[::-1]}, 4))
 
@@ -105,11 +103,10 @@ w AS (SELECT *, CASE WHEN 1 - c < 0.01 THEN 0.7 ELSE sin(0.7*acos(least(c, 1)))/
 """
 
 
-@query(_QUATS + _SLERP + f"SELECT {_K}, " + ", ".join([_r(f"wa*a{i} + wb*b{i}", f"mid{i}") for i in range(4)] + [_r("acos(greatest(-1 + 1e-6, least(1 - 1e-6, 2*c*c - 1)))", "geodesic", 5)]) + " FROM w WHERE abs(c - 0.99) > 1e-9 AND c < 0.999999 AND c > 1e-6")
+@query(_QUATS + _SLERP + f"SELECT {_K}, " + ", ".join([_r(f"wa*a{i} + wb*b{i}", f"mid{i}") for i in range(4)] + [_r("acos(greatest(-1 + 1e-6, least(1 - 1e-6, 2*c*c - 1)))", "geodesic", 5)]) + " FROM w")
 def rot_slerp_and_geodesic(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = R.names("a", 4), R.names("b", 4)
-    c = F.abs(R.dot(a, b))
-    q = _quats(spark, sf_dir).where((F.abs(c - 0.99) > 1e-9) & (c < 0.999999) & (c > 1e-6))
+    q = _quats(spark, sf_dir)
     angle = R.geodesic(R.quat_matrix(a), R.quat_matrix(b))
     return q.select(*KEYS, *_rounded({"mid": R.quat_slerp(a, b, F.lit(0.3))}), F.round(angle, 5).alias("geodesic"))
 
@@ -117,10 +114,10 @@ def rot_slerp_and_geodesic(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SIXD = f"""
 WITH {FINITE},
 x AS (SELECT object_type, motion_id, frame, joint, f, sqrt(f[4]*f[4] + f[5]*f[5] + f[6]*f[6]) AS n FROM m),
-u AS (SELECT *, f[4]/n AS x0, f[5]/n AS x1, f[6]/n AS x2 FROM x WHERE n > 1e-3),
+u AS (SELECT *, f[4]/greatest(n, 1e-8) AS x0, f[5]/greatest(n, 1e-8) AS x1, f[6]/greatest(n, 1e-8) AS x2 FROM x),
 z AS (SELECT *, x1*f[9] - x2*f[8] AS z0, x2*f[7] - x0*f[9] AS z1, x0*f[8] - x1*f[7] AS z2 FROM u),
 k AS (SELECT *, sqrt(z0*z0 + z1*z1 + z2*z2) AS nz FROM z),
-r AS (SELECT object_type, motion_id, frame, joint, f, x0, x1, x2, z0/nz AS z0, z1/nz AS z1, z2/nz AS z2 FROM k WHERE nz > 1e-3)
+r AS (SELECT object_type, motion_id, frame, joint, f, x0, x1, x2, z0/greatest(nz, 1e-8) AS z0, z1/greatest(nz, 1e-8) AS z1, z2/greatest(nz, 1e-8) AS z2 FROM k)
 """
 
 
@@ -131,10 +128,7 @@ def rot_sixd_to_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sixd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = finite_motion(spark, sf_dir).select(*KEYS, *R.aliased("g", R.parts("f", 3, 6)))
-    g = R.names("g", 6)
-    m = m.where(R.norm(g[:3]) > 1e-3)
-    return m.where(R.norm(R.cross(R.scale(g[:3], 1 / R.norm(g[:3])), g[3:])) > 1e-3)
+    return finite_motion(spark, sf_dir).select(*KEYS, *R.aliased("g", R.parts("f", 3, 6)))
 
 
 @query(
