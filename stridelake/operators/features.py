@@ -231,13 +231,8 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-8)
 
 
-def _kinematics(key: tuple, table: pa.Table) -> pa.Table:
-    """World positions of one clip by its rotations: whole frames only, all frames at once, joint by joint."""
-    skeleton = skeleton_of(table)
-    if skeleton is None:
-        return pa.Table.from_pylist([], pa.schema([("object_type", pa.string()), ("motion_id", pa.string()), ("frame", pa.int32()), ("joint", pa.int32()), ("x", pa.float64()), ("y", pa.float64()), ("z", pa.float64())]))
-    parents, offsets = np.array(skeleton["parents"]), np.array(skeleton["offsets"], float)
-    n = len(parents)
+def _grid(table: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Frames, readings (frames x joints x 13), and which of them are there, of one clip."""
     frame, joint = table.column("frame").to_numpy(), table.column("joint").to_numpy()
     f = table.column("f").combine_chunks().flatten().to_numpy().astype(float).reshape(-1, 13)
     frames, at = np.unique(frame, return_inverse=True)
@@ -246,15 +241,30 @@ def _kinematics(key: tuple, table: pa.Table) -> pa.Table:
     have[at[ok], joint[ok]] = True
     grid = np.zeros((len(frames), n, 13))
     grid[at[ok], joint[ok]] = f[ok]
-    whole = have.all(axis=1)
-    frames, grid = frames[whole], grid[whole]
-    x = _unit(grid[..., 3:6])
-    z = _unit(np.cross(x, grid[..., 6:9]))
-    turn = np.stack([x, np.cross(z, x), z], axis=-1)
-    step = np.zeros((len(frames), 3))
-    step[1:, [0, 2]] = grid[:-1, 0][:, [9, 11]]
-    root = np.cumsum(np.einsum("tji,tj->ti", turn[:, 0], step), axis=0)
-    root[:, 1] = grid[:, 0, 1]
+    return frames, grid, have
+
+
+def _turns(d: np.ndarray) -> np.ndarray:
+    x = _unit(d[..., :3])
+    z = _unit(np.cross(x, d[..., 3:]))
+    return np.stack([x, np.cross(z, x), z], axis=-1)
+
+
+def _root_path(turn: np.ndarray, grid: np.ndarray) -> np.ndarray:
+    """World positions of the root, from its matrices and readings in successive frames."""
+    step = np.zeros((len(grid), 3))
+    step[1:, [0, 2]] = grid[:-1][:, [9, 11]]
+    root = np.cumsum(np.einsum("tji,tj->ti", turn, step), axis=0)
+    root[:, 1] = grid[:, 1]
+    return root
+
+
+def _posed(skeleton: dict, grid: np.ndarray) -> np.ndarray:
+    """World positions by rotations: all frames at once, joint by joint."""
+    parents, offsets = np.array(skeleton["parents"]), np.array(skeleton["offsets"], float)
+    n, frames = len(parents), grid
+    turn = _turns(grid[..., 3:9])
+    root = _root_path(turn[:, 0], grid[:, 0])
     own = np.tile(np.eye(3), (len(frames), n, 1, 1))
     for j in range(1, n):
         own[:, parents[j]] = turn[:, j]  # a joint's rotation is carried by its children: the last one counts
@@ -264,12 +274,65 @@ def _kinematics(key: tuple, table: pa.Table) -> pa.Table:
         p = parents[j]
         spin[:, j] = spin[:, p] @ own[:, j]
         place[:, j] = place[:, p] + spin[:, p] @ offsets[j]
+    return place
+
+
+def _kinematics(key: tuple, table: pa.Table) -> pa.Table:
+    """World positions of one clip by its rotations, whole frames only."""
+    skeleton = skeleton_of(table)
+    if skeleton is None:
+        return pa.Table.from_pylist([], pa.schema([("object_type", pa.string()), ("motion_id", pa.string()), ("frame", pa.int32()), ("joint", pa.int32()), ("x", pa.float64()), ("y", pa.float64()), ("z", pa.float64())]))
+    n = len(skeleton["parents"])
+    frames, grid, have = _grid(table, n)
+    whole = have.all(axis=1)
+    frames, place = frames[whole], _posed(skeleton, grid[whole])
     t, k = np.meshgrid(frames, np.arange(n), indexing="ij")
     flat = place.reshape(-1, 3)
     names = [pa.array([x.as_py()] * flat.shape[0], pa.string()) for x in key]
     return pa.table([*names, pa.array(t.ravel(), pa.int32()), pa.array(k.ravel(), pa.int32()), *(pa.array(flat[:, i]) for i in range(3))], names=["object_type", "motion_id", "frame", "joint", "x", "y", "z"])
 
 
+ERRORS = "object_type string, motion_id string, mean_l2 double, diagonal double, spread double"
+
+
+def _errors(key: tuple, table: pa.Table) -> pa.Table:
+    """Of one clip: mean distance of positions by rotation and by position, mean box of the latter, and the largest difference between children of one joint."""
+    skeleton = skeleton_of(table)
+    out = {"object_type": [key[0].as_py()], "motion_id": [key[1].as_py()], "mean_l2": [None], "diagonal": [None], "spread": [None]}
+    if skeleton is not None:
+        parents = np.array(skeleton["parents"])
+        frames, grid, have = _grid(table, len(parents))
+        rooted = have[:, 0]
+        turn = np.zeros((len(frames), 3, 3))
+        turn[rooted] = _turns(grid[rooted, 0, 3:9])
+        root = np.zeros((len(frames), 3))
+        root[rooted] = _root_path(turn[rooted], grid[rooted, 0])
+        world = np.einsum("tji,tkj->tki", turn, grid[..., :3]) + (root * [1, 0, 1])[:, None]
+        world[:, 0] = root
+        whole = have.all(axis=1)
+        if whole.any():
+            world = world[whole]
+            out["mean_l2"] = [float(np.linalg.norm(_posed(skeleton, grid[whole]) - world, axis=-1).mean())]
+            out["diagonal"] = [float(np.linalg.norm(world.max(axis=1) - world.min(axis=1), axis=-1).mean() + 1e-8)]
+        gaps = []
+        for p in np.unique(parents[parents >= 0]):
+            children = np.flatnonzero(parents == p)
+            held = have[:, children]
+            d = grid[:, children, 3:9]
+            first = d[np.arange(len(d)), held.argmax(axis=1)]
+            gap = np.abs(d - first[:, None]).max(axis=-1)[held]
+            gaps.append(gap.max() if len(gap) else -1.0)
+        if gaps and max(gaps) >= 0:
+            out["spread"] = [float(max(gaps))]
+    return pa.table({k: pa.array(v, pa.string() if i < 2 else pa.float64()) for i, (k, v) in enumerate(out.items())})
+
+
+def kinematic_errors(motion: DataFrame, topology: DataFrame) -> DataFrame:
+    """Per clip mean_l2, diagonal and spread, in one pass behind one exchange; null mean_l2 where no frame is whole or the skeleton is not usable."""
+    usable = topology.where(F.forall(F.transform("parents", lambda p, i: p < i), lambda b: b)).select("object_type", "parents", "offsets")
+    return with_skeletons(motion, usable).groupBy(*CLIP).applyInArrow(_errors, ERRORS)
+
+
 def forward_kinematics(motion: DataFrame, topology: DataFrame) -> DataFrame:
     """World positions from rotations and offsets, for skeletons whose parents come before their joints; frames that lack a joint are left out."""
     usable = topology.where(F.forall(F.transform("parents", lambda p, i: p < i), lambda b: b)).select("object_type", "parents", "offsets")

@@ -71,15 +71,8 @@ def gate_b(world: DataFrame, source_world: DataFrame | None, tolerance: float =
 
 def gate_c(motion: DataFrame, topology: DataFrame, clean: float = 1e-4, of_box: float = 0.005) -> DataFrame:
     """Per clip the mean distance of positions by rotation and by position, against a fixed bound, or a share of the body's box where twists are inferred."""
-    by_rotation = X.forward_kinematics(motion, topology)
-    by_position = X.world_positions(motion)
-    whole = by_rotation.join(by_position.select(*X.KEYS, "w0", "w1", "w2"), X.KEYS)
-    gap = R.minus((F.col("x"), F.col("y"), F.col("z")), R.names("w", 3))
-    error = whole.groupBy(*X.CLIP).agg(F.avg(R.norm(gap)).alias("mean_l2"))
-    box = X.box_diagonal(whole.select(*X.KEYS, "w0", "w1", "w2"))
-    spread = X.child_spread(motion, S.joints(topology))
     mode = topology.select("object_type", (F.col("gate_c_mode") == "inferred_twist").alias("inferred"))
-    out = error.join(box, X.CLIP).join(spread, X.CLIP, "left").join(mode, "object_type", "left")
+    out = X.kinematic_errors(motion, topology).where("mean_l2 is not null").join(mode, "object_type", "left")
     fk = F.when(F.col("inferred"), F.col("mean_l2") / F.col("diagonal") <= of_box).otherwise(F.col("mean_l2") <= clean)
     return out.select(*X.CLIP, "mean_l2", "diagonal", (F.coalesce(fk, F.lit(False)) & (F.coalesce("spread", F.lit(0.0)) <= SPREAD)).alias("passed"))
 
@@ -174,3 +167,17 @@ def pages(rows: DataFrame, group: str, order: list[str], size: int = 90) -> Data
     w = W.partitionBy(group)
     n = F.count(F.lit(1)).over(w)
     return rows.withColumn("page", F.floor((F.row_number().over(w.orderBy(*order)) - 1) / size).cast("int")).withColumn("n_pages", F.ceil(n / size).cast("int"))
+
+
+def acceptance(motion: DataFrame, clips: DataFrame, topology: DataFrame, listed: DataFrame, source_world: DataFrame | None = None) -> DataFrame:
+    """gate, n_failed: failures of gates A (clips with issues), B (clips off their source; none where it is waived), C (clips off by rotation, or not judged for want of a usable skeleton or whole frame), E (broken layout rules)."""
+    good = motion.where(F.forall("f", _finite) & (F.size("f") == 13))
+    judged = gate_c(good, topology)
+    c = motion.select(*X.CLIP).distinct().join(judged.where("passed").select(*X.CLIP), X.CLIP, "left_anti")
+    b = gate_b(X.world_positions(good), source_world).where("not passed")
+    gates = {"A": gate_a(motion, clips, topology).where(F.size("issues") > 0), "B": b, "C": c, "E": gate_e(clips, topology, listed)}
+    out = None
+    for name, failed in gates.items():
+        row = failed.agg(F.count(F.lit(1)).alias("n_failed")).select(F.lit(name).alias("gate"), "n_failed")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -95,6 +95,10 @@ def qa_gate_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("object_type", "motion_id", F.round("mean_l2", 5).alias("mean_l2"), F.round("diagonal", 5).alias("diagonal"))
 
 
+def _failures(gate: str, sql: str, where: str) -> str:
+    return f"SELECT '{gate}' AS gate, count(*) AS n_failed FROM ({sql}) WHERE {where}"
+
+
 @query()
 def qa_position_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.error_report(finite_motion(spark, sf_dir), first_topology(spark, sf_dir))
@@ -165,4 +169,15 @@ def qa_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.pages(first_clip(spark, sf_dir).select("motion_id", F.coalesce("object_type", F.lit("")).alias("o")), "o", ["motion_id"], 30)
 
 
+def qa_build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures of the gates that a build is accepted by, over whole tables; gate C of all clips with finite readings."""
+    return Q.acceptance(_motion(spark, sf_dir), first_clip(spark, sf_dir), first_topology(spark, sf_dir), table(spark, sf_dir, "object_index"))
+
+
+query.queries["qa_build_report"] = qa_build_report
+_JUDGED = query.oracle["qa_gate_c"].rsplit("SELECT object_type, motion_id, round(mean_l2", 1)[0] + """, sp AS (SELECT m.object_type, m.motion_id, m.frame, t.parent, m.joint, m.f, first_value(m.f) OVER (PARTITION BY m.object_type, m.motion_id, m.frame, t.parent ORDER BY m.joint) AS g FROM m JOIN (SELECT object_type, unnest(range(len(parents))) AS joint, unnest(parents) AS parent FROM topo) t USING (object_type, joint) WHERE t.parent >= 0),
+sd AS (SELECT object_type, motion_id, max(greatest(abs(f[4]-g[4]), abs(f[5]-g[5]), abs(f[6]-g[6]), abs(f[7]-g[7]), abs(f[8]-g[8]), abs(f[9]-g[9]))) AS spread FROM sp GROUP BY ALL),
+ok AS (SELECT object_type, motion_id FROM e JOIN bd USING (object_type, motion_id) JOIN topo USING (object_type) LEFT JOIN sd USING (object_type, motion_id) WHERE CASE WHEN gate_c_mode = 'inferred_twist' THEN mean_l2/diagonal <= 0.005 ELSE mean_l2 <= 1e-4 END AND coalesce(spread, 0) <= 1e-4)
+SELECT DISTINCT object_type, motion_id FROM (SELECT object_type, motion_id FROM motion WHERE object_type IS NOT NULL AND f IS NOT NULL) a ANTI JOIN ok USING (object_type, motion_id)"""
+query.oracle["qa_build_report"] = " UNION ALL ".join([_failures("A", query.oracle["qa_gate_a"], "issues <> ''"), "SELECT 'B', 0", _failures("C", _JUDGED, "true"), _failures("E", query.oracle["qa_gate_e"], "true")])
 QUERIES, ORACLE = query.queries, query.oracle

@@ -73,12 +73,16 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path, if it is there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete stored tables whose readers have all been stored themselves."""
     for t in tables:
-        jvm = t.sparkSession.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(t.stored_path)
-        where.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        remove(t.sparkSession, t.stored_path)
         if t.stored_path in _written:
             _written.remove(t.stored_path)
 
