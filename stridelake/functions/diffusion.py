@@ -176,6 +176,43 @@ def step_embedding(rows: DataFrame, t: str, dim: int, period: float = 10_000.0,
     return rows.withColumn("embedding", value)
 
 
+def scaled_step(t: Column, steps: int, scale: bool = True) -> Column:
+    """A step on the scale of a thousand steps."""
+    return t.cast("double") * (1000.0 / steps) if scale else t.cast("double")
+
+
+def model_log_variance(kind: str, value: Column | None = None) -> Column:
+    """learned: the value itself; learned_range: between posterior and step; fixed_large: of the step, the posterior's first; fixed_small: the posterior's."""
+    if kind == "learned":
+        return value
+    if kind == "learned_range":
+        return learned_log_variance(value)
+    if kind == "fixed_large":
+        return F.when(F.col("t") == 0, F.col("post_log_var")).otherwise(F.log("beta"))
+    return F.col("post_log_var")
+
+
+def model_mean(kind: str, output: Column, xt: Column, clip: bool = False) -> tuple[Column, Column]:
+    """(mean, start) that a model's output stands for: the mean before (``before``), the start (``start``) or the noise (``noise``); the start may be kept within -1 and 1."""
+    start = {"before": lambda: start_from_before(xt, output), "start": lambda: output, "noise": lambda: start_from_noise(xt, output)}[kind]()
+    if clip:
+        start = F.least(F.greatest(start, F.lit(-1.0)), F.lit(1.0))
+    return (output if kind == "before" else posterior_mean(start, xt)), start
+
+
+def ema(target: Column, source: Column, rate: float = 0.99) -> Column:
+    return target * rate + source * (1 - rate)
+
+
+def training_loss(simple: Column, geodesic: Column | None = None, sliding: Column | None = None, by_geodesic: float = 0.0, by_sliding: float = 0.0) -> Column:
+    """The sum of a clip's loss terms; a term without weight is not asked for, and a missing one counts nothing."""
+    out = simple
+    for term, weight in ((geodesic, by_geodesic), (sliding, by_sliding)):
+        if weight > 0:
+            out = out + weight * F.coalesce(term, F.lit(0.0))
+    return out
+
+
 Denoiser = Callable[[DataFrame], DataFrame]
 
 

@@ -320,3 +320,19 @@ def facing_of_hips(right_hip: Sequence, left_hip: Sequence, right_shoulder: Sequ
 def rotation_between(u: Sequence, v: Sequence) -> Columns:
     """Matrix of the shortest turn between two vectors."""
     return quat_matrix(quat_between(u, v))
+
+
+def affine_inverse(m: Sequence, t: Sequence) -> tuple[Columns, Columns]:
+    """Matrix and translation that undo x -> m x + t, for any invertible m."""
+    minor = lambda r, c: m[3 * ((r + 1) % 3) + (c + 1) % 3] * m[3 * ((r + 2) % 3) + (c + 2) % 3] - m[3 * ((r + 1) % 3) + (c + 2) % 3] * m[3 * ((r + 2) % 3) + (c + 1) % 3]
+    det = m[0] * minor(0, 0) + m[1] * minor(0, 1) + m[2] * minor(0, 2)
+    back = tuple(minor(c, r) / det for r in range(3) for c in range(3))
+    return back, tuple(-x for x in matrix_apply(back, t))
+
+
+def random_pose(seed: int, spread: float = 1.0) -> Columns:
+    """A random rotation vector per row: any axis, an angle of normal size (a sixth of a half turn times ``spread``), at most a half turn."""
+    axis = tuple(F.randn(seed + i) for i in range(3))
+    n = norm(axis)
+    angle = clamp(F.randn(seed + 3) * (3.141592653589793 / 6 * spread), -3.141592653589793, 3.141592653589793)
+    return scale(axis, angle / F.when(n == 0, 1.0).otherwise(n))

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stridelake.functions import rotations as R
+
 
 def uniform(key: Column, seed: int) -> Column:
     """A number in (0, 1) from a key: 32 bits of its MD5."""
@@ -168,3 +170,16 @@ def fitted_pixels(points: DataFrame, group: list[str], size: int, pad: float = 0
     px = F.lit(size / 2) + (F.col("u") - (F.col("lo_u") + F.col("hi_u")) / 2) * k
     py = F.lit(size / 2) - (F.col("v") - (F.col("lo_v") + F.col("hi_v")) / 2) * k
     return points.join(box, group).withColumns({"px": px, "py": py})
+
+
+def weighted_rotation(rows: DataFrame, group: list[str], q: tuple, weight) -> DataFrame:
+    """Per group the rotation whose log is the weighted mean of the logs: q0..q3."""
+    logs = R.quat_log(q)
+    total = rows.groupBy(*group).agg(*((F.sum(x * weight) / F.sum(weight)).alias(f"l{i}") for i, x in enumerate(logs)))
+    return total.select(*group, *R.aliased("q", R.quat_exp(R.names("l", 3))))
+
+
+def smoothed(rows: DataFrame, group: list[str], order: str, value: str, rate: float = 0.99) -> DataFrame:
+    """Per group the last value of a running average that keeps ``rate`` of itself at each step and begins with the first value."""
+    held = rows.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(order, F.col(value).cast("double").alias("v")))).alias("s"))
+    return held.select(*group, F.aggregate("s", F.lit(None).cast("double"), lambda a, x: F.coalesce(a * rate + x["v"] * (1 - rate), x["v"])).alias("average"))

@@ -151,4 +151,28 @@ def df_sampled_inpainting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*X.KEYS, (F.round("x", 5) + 0.0).alias("x"))
 
 
+@query(
+    _ROWS + f""", s AS (SELECT *, least(greatest(sqrt(1/bar)*xt - sqrt(1/bar - 1)*other, -1), 1) AS by_noise, (other - post_noisy*xt)/post_start AS by_before FROM j)
+SELECT {K}, t*10.0 AS scaled, round(post_start*by_noise + post_noisy*xt, 5) + 0.0 AS mean_noise, round(post_start*other + post_noisy*xt, 5) + 0.0 AS mean_start, round(other, 5) + 0.0 AS mean_before, round(by_before, 3) + 0.0 AS start_before, round(CASE WHEN t = 0 THEN post_log_var ELSE ln(beta) END, 5) + 0.0 AS large, round(post_log_var, 5) + 0.0 AS small,
+round(x0, 5) + 0.0 AS learned, round(0.6*ln(beta) + 0.4*post_log_var, 5) + 0.0 AS ranged, round(x0 + 0.3*other, 5) + 0.0 AS guided, round(noise - sqrt(1 - bar)*other, 5) + 0.0 AS guided_noise, round(0.9*x0 + 0.1*other, 5) + 0.0 AS ema FROM s"""
+)
+def df_model_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a model's output stands for, by each kind of mean and variance; guidance, scaled steps and averaged parameters."""
+    j = _joined(spark, sf_dir)
+    x0, xt, other, noise = (F.col(c) for c in ("x0", "xt", "other", "noise"))
+    out = {
+        "scaled": (D.scaled_step(F.col("t"), STEPS), 5), "mean_noise": (D.model_mean("noise", other, xt, clip=True)[0], 5), "mean_start": (D.model_mean("start", other, xt)[0], 5), "mean_before": (D.model_mean("before", other, xt)[0], 5), "start_before": (D.model_mean("before", other, xt)[1], 3),
+        "large": (D.model_log_variance("fixed_large"), 5), "small": (D.model_log_variance("fixed_small"), 5), "learned": (D.model_log_variance("learned", x0), 5), "ranged": (D.model_log_variance("learned_range", F.lit(0.2)), 5),
+        "guided": (D.guided_mean(x0, F.lit(0.3), other), 5), "guided_noise": (D.guided_noise(noise, other), 5), "ema": (D.ema(x0, other, 0.9), 5),
+    }
+    return j.select(*X.KEYS, *((F.round(c, d) + 0.0).alias(k) for k, (c, d) in out.items()))
+
+
+@query("SELECT object_type, motion_id, round(a.loss + 0.1*coalesce(b.loss, 0), 6) AS loss FROM (" + query.oracle["df_masked_l2"] + ") a LEFT JOIN (" + query.oracle["df_geodesic_loss"] + ") b USING (object_type, motion_id)")
+def df_training_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per clip the masked loss and a tenth of the geodesic one."""
+    both = df_masked_l2(spark, sf_dir).join(df_geodesic_loss(spark, sf_dir).withColumnRenamed("loss", "turn"), X.CLIP, "left")
+    return both.select(*X.CLIP, F.round(D.training_loss(F.col("loss"), F.col("turn"), by_geodesic=0.1), 6).alias("loss"))
+
+
 QUERIES, ORACLE = query.queries, query.oracle

@@ -158,4 +158,64 @@ def rot_facing_yaw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return faced.select("object_type", "motion_id", "frame", *[(F.round(c, 6) + 0.0).alias(n) for c, n in ((F.col("w0"), "forward0"), (F.col("w2"), "forward2"), (yaw[0], "yaw0"), (yaw[2], "yaw2"))])
 
 
+_ANGLES = ", ".join(f"sin({h}) AS s{i}, cos({h}) AS c{i}, sin({h}/2)/(1 + 1e-10) AS hs{i}, cos({h}/2) AS hc{i}" for i, h in enumerate(("v0", "v1", "v2")))
+
+
+@query(
+    _QUATS + f", e AS (SELECT *, {_ANGLES}, sqrt(v0*v0 + v1*v1 + v2*v2) AS n FROM q) SELECT {_K}, "
+    + ", ".join(
+        [
+            _r("cos(v0/2)", "about0"), _r("sin(v0/2)*a1/(sqrt(a1*a1 + a2*a2 + a3*a3) + 1e-10)", "about1"), _r("hc0*hc1*hc2 - hs0*hs1*hs2", "euler0"), _r("hs0*hc1*hc2 + hc0*hs1*hs2", "euler1"), _r("hc0*hc1*hc2 + hs0*hs1*hs2", "world0"), _r("hs0*hc1*hc2 - hc0*hs1*hs2", "world1"),
+            _r("cos(n/2)", "vector0"), _r("v1*CASE WHEN n < 1e-6 THEN 0.5 - n*n/48 ELSE sin(n/2)/n END", "vector2"),
+            _r("c1*c2", "e0"), _r("-c1*s2", "e1"), _r("s1", "e2"), _r("c0*s2 + s0*s1*c2", "e3"), _r("c0*c2 - s0*s1*s2", "e4"), _r("-s0*c1", "e5"),
+            _r("2*atan2(sqrt(a1*a1 + a2*a2 + a3*a3), a0)*CASE WHEN sqrt(a1*a1 + a2*a2 + a3*a3) < 1e-12 THEN 0 ELSE a1/sqrt(a1*a1 + a2*a2 + a3*a3) END", "turn0", 5),
+        ]
+    ) + " FROM e"
+)
+def rot_more_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quaternions from angle and axis, from Euler angles (moving and fixed axes) and from a rotation vector; the matrix of Euler angles by its first two rows; and a rotation vector."""
+    a, v = R.names("a", 4), R.names("v", 3)
+    moving, fixed = R.quat_from_euler(v, "xyz"), R.quat_from_euler(v, "xyz", world=True)
+    about, vector = R.quat_from_angle_axis(F.col("v0"), a[1:]), R.axis_angle_quat(v)
+    out = {"about0": about[0], "about1": about[1], "euler0": moving[0], "euler1": moving[1], "world0": fixed[0], "world1": fixed[1], "vector0": vector[0], "vector2": vector[2]}
+    out |= {f"e{i}": x for i, x in enumerate(R.matrix_6d_rows(R.euler_matrix(v, "XYZ")))}
+    turn = R.quat_axis_angle(a)
+    return _quats(spark, sf_dir).select(*KEYS, *((F.round(x, 6) + 0.0).alias(k) for k, x in out.items()), (F.round(F.coalesce(turn[0], F.lit(0.0)), 5) + 0.0).alias("turn0"))
+
+
+@query(
+    _QUATS + _MATRIX + f", w AS (SELECT *, v0 + 1 AS u0, v1 + 2 AS u1, v2 + 3 AS u2 FROM r), d AS (SELECT *, a2 AS im, sqrt(a0*a0 + a2*a2) AS len FROM w), k AS (SELECT *, sqrt(u0*u0 + u1*u1 + u2*u2) + u2 AS bb, sqrt((sqrt(u0*u0 + u1*u1 + u2*u2) + u2)**2 + u1*u1 + u0*u0) AS bn FROM d) SELECT {_K}, "
+    + ", ".join([_r("-(m0*v0 + m3*v1 + m6*v2)", "rigid0", 5), _r("-(m1*v0 + m4*v1 + m7*v2)", "rigid1", 5), _r("m3", "rigid_m1"), _r("abs(a0)/len", "twist0", 5), _r("bb/bn", "between0", 5), _r("u1/bn", "between1", 5), _r("-u0/bn", "between2", 5), _r("1 - 2*(u0/bn)**2", "matrix0", 5)]) + " FROM k WHERE len > 1e-6"
+)
+def rot_inverses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Undone rigid motions, the twist about Y, and the turn from a vector to +Z as quaternion and matrix; rows whose twist is not defined are left out."""
+    a, v = R.names("a", 4), R.names("v", 3)
+    rows = _quats(spark, sf_dir).where("sqrt(a0 * a0 + a2 * a2) > 1e-6")
+    back, moved = R.rigid_inverse(R.quat_matrix(a), v)
+    twist = R.quat_twist(a, (F.lit(0.0), F.lit(1.0), F.lit(0.0)))
+    u, z = tuple(v[i] + float(i + 1) for i in range(3)), (F.lit(0.0), F.lit(0.0), F.lit(1.0))
+    between, matrix = R.quat_between(u, z), R.rotation_between(u, z)
+    out = {"rigid0": (moved[0], 5), "rigid1": (moved[1], 5), "rigid_m1": (back[1], 6), "twist0": (F.abs(twist[0]), 5), "between0": (between[0], 5), "between1": (between[1], 5), "between2": (between[2], 5), "matrix0": (matrix[0], 5)}
+    return rows.select(*KEYS, *((F.round(x, d) + 0.0).alias(k) for k, (x, d) in out.items()))
+
+
+@query(
+    _QUATS + f", i AS (SELECT *, 2 + abs(v0) AS s, v1/10 AS h FROM q) SELECT {_K}, " + ", ".join([_r("1/s", "i0", 5), _r("-h/s", "i1", 5), _r("1.0", "i4", 5), _r("0.5", "i8", 5), _r("-(v0/s - h*v1/s)", "t0", 4), _r("-v1", "t1", 5), _r("-v2/2", "t2", 5)]) + " FROM i"
+)
+def rot_affine_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inverse of a scaled and sheared motion."""
+    v, o, one = R.names("v", 3), F.lit(0.0), F.lit(1.0)
+    m = (2 + F.abs("v0"), F.col("v1") / 10, o, o, one, o, o, o, F.lit(2.0))
+    back, moved = R.affine_inverse(m, v)
+    out = {"i0": (back[0], 5), "i1": (back[1], 5), "i4": (back[4], 5), "i8": (back[8], 5), "t0": (moved[0], 4), "t1": (moved[1], 5), "t2": (moved[2], 5)}
+    return _quats(spark, sf_dir).select(*KEYS, *((F.round(x, d) + 0.0).alias(k) for k, (x, d) in out.items()))
+
+
+@query(f"WITH {FINITE} SELECT {_K}, true AS unit, true AS bounded FROM m")
+def rot_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random rotations and poses: unit quaternions, and rotation vectors of at most a half turn."""
+    m = finite_motion(spark, sf_dir).select(*KEYS, *R.aliased("q", R.random_quaternion(5)), *R.aliased("p", R.random_pose(9)))
+    return m.select(*KEYS, (F.abs(R.norm(R.names("q", 4)) - 1) < 1e-9).alias("unit"), (R.norm(R.names("p", 3)) <= 3.1416).alias("bounded"))
+
+
 QUERIES, ORACLE = query.queries, query.oracle

@@ -23,6 +23,29 @@ def _u(key: str, seed: int) -> str:
     return f"((CAST('0x' || left(md5('{seed}:' || {key}), 8) AS BIGINT) + 0.5) / 4294967296.0)"
 
 
+@query(
+    f"""WITH {FINITE}, g AS (SELECT object_type, joint, frame + 1.0 AS w, f[4] AS a0, f[5] AS a1, f[6] AS a2, f[7] AS a3, sqrt(f[4]**2 + f[5]**2 + f[6]**2 + f[7]**2) AS n FROM m WHERE sqrt(f[4]**2 + f[5]**2 + f[6]**2 + f[7]**2) > 1e-3),
+u AS (SELECT object_type, joint, w, CASE WHEN a0 < 0 THEN -1 ELSE 1 END * a0/n AS p0, CASE WHEN a0 < 0 THEN -1 ELSE 1 END * a1/n AS p1, CASE WHEN a0 < 0 THEN -1 ELSE 1 END * a2/n AS p2, CASE WHEN a0 < 0 THEN -1 ELSE 1 END * a3/n AS p3 FROM g),
+l AS (SELECT *, atan2(sqrt(p1*p1 + p2*p2 + p3*p3), p0)/(sqrt(p1*p1 + p2*p2 + p3*p3) + 1e-10) AS k FROM u), s AS (SELECT object_type, joint, sum(p1*k*w)/sum(w) AS l1, sum(p2*k*w)/sum(w) AS l2, sum(p3*k*w)/sum(w) AS l3 FROM l GROUP BY ALL), z AS (SELECT *, sqrt(l1*l1 + l2*l2 + l3*l3) AS r FROM s)
+SELECT object_type, joint, round(cos(r), 5) + 0.0 AS q0, round(sin(r)*l1/r, 5) + 0.0 AS q1, round(sin(r)*l2/r, 5) + 0.0 AS q2, round(sin(r)*l3/r, 5) + 0.0 AS q3 FROM z WHERE r > 1e-9"""
+)
+def sm_weighted_rotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source and joint the mean of channels 3-6 as quaternions through their logs, later frames counting more; means without a turn are left out."""
+    m = finite_motion(spark, sf_dir).select("object_type", "joint", (F.col("frame") + 1.0).alias("w"), *R.aliased("a", R.parts("f", 3, 4))).where(R.norm(R.names("a", 4)) > 1e-3)
+    out = P.weighted_rotation(m, ["object_type", "joint"], R.names("a", 4), F.col("w"))
+    return out.where(R.norm(R.names("q", 4)[1:]) > 1e-9).select("object_type", "joint", *((F.round(f"q{i}", 5) + 0.0).alias(f"q{i}") for i in range(4)))
+
+
+@query(
+    f"""WITH {FINITE}, r AS (SELECT object_type, motion_id, frame, f[2] AS v, row_number() OVER w AS k, count(*) OVER (PARTITION BY object_type, motion_id) AS n FROM m WHERE joint = 0 WINDOW w AS (PARTITION BY object_type, motion_id ORDER BY frame, f[2]))
+SELECT object_type, motion_id, round(sum(v * CASE WHEN k = 1 THEN 0.9**(n - 1) ELSE 0.1 * 0.9**(n - k) END), 5) + 0.0 AS average FROM r GROUP BY ALL"""
+)
+def sm_smoothed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running average of each clip's root height at its end."""
+    m = finite_motion(spark, sf_dir).where("joint = 0").select("object_type", "motion_id", "frame", F.get("f", F.lit(1)).alias("v"))
+    return P.smoothed(m, ["object_type", "motion_id"], "frame", "v", 0.9).withColumn("average", F.round("average", 5) + 0.0)
+
+
 @query(f"WITH {CLIP}, n AS (SELECT object_type, count(*) AS n FROM c WHERE object_type IS NOT NULL GROUP BY 1) SELECT c.object_type, motion_id, round(1.0 / (SELECT count(*) FROM n) / n.n, 9) AS weight, round(-ln({_u('motion_id', 7)}) / (1.0 / (SELECT count(*) FROM n) / n.n), 4) AS draw FROM c JOIN n ON n.object_type = c.object_type")
 def sm_balanced_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every clip's balanced weight and its place value in a weighted draw without replacement."""
