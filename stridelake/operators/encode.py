@@ -64,6 +64,17 @@ def yaw(direction: np.ndarray) -> np.ndarray:
     return np.moveaxis(np.array([[c, o, s], [o, o + 1, o], [-s, o, c]]), 2, 0)
 
 
+def canonical_frame(parents: list[int], offsets: np.ndarray, root: np.ndarray, local: np.ndarray, face: list[int], scale: float, ground: list[int]) -> tuple[float, np.ndarray, float]:
+    """What ``canonical`` takes away from a clip: the angle of its first facing, its first place on the ground, and its lowest height, in the scaled skeleton's units."""
+    offsets, root = offsets * scale, root * scale
+    ahead = forward(place(parents, offsets, root, local)[:1], face)[0]
+    turn = yaw(ahead[None])[0]
+    root, local = root @ turn.T, np.concatenate([turn @ local[:, :1], local[:, 1:]], axis=1)
+    origin = root[0] * [1, 0, 1]
+    low = place(parents, offsets, root - origin, local)[:, ground or slice(None), 1].min()
+    return float(-np.arctan2(ahead[0], ahead[2])), origin, float(low)
+
+
 def canonical(parents: list[int], offsets: np.ndarray, root: np.ndarray, local: np.ndarray, face: list[int], scale: float, ground: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Offsets, root path and rotations of a clip that faces +Z in its first frame, starts over the origin, has the given scale and stands on the ground."""
     offsets, root = offsets * scale, root * scale
@@ -192,3 +203,114 @@ def scaled_topology(topology: DataFrame) -> DataFrame:
     factor = S.scale_factors(topology, MEAN_BONE).select("object_type", "factor")
     k = F.coalesce("factor", F.lit(1.0))
     return topology.join(factor, "object_type", "left").withColumn("offsets", F.transform("offsets", lambda o: F.transform(o, lambda x: x * k))).drop("factor")
+
+
+PARAMETERS = "object_type string, motion_id string, scale double, angle double, x double, z double, low double"
+
+
+def bone_scale(offsets: np.ndarray, used: list[int]) -> float:
+    """The factor that gives the used bones the mean length of all skeletons."""
+    bones = np.linalg.norm(offsets[used or list(range(1, len(offsets)))], axis=-1)
+    bones = bones[bones > 1e-8]
+    return MEAN_BONE / bones.mean() if len(bones) else 1.0
+
+
+def _raw_clip(t: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Root path and rotations of the whole frames."""
+    frame, joint = t.column("frame").to_numpy(), t.column("joint").to_numpy()
+    frames, at = np.unique(frame, return_inverse=True)
+    inside = joint < n
+    have = np.zeros((len(frames), n), bool)
+    have[at[inside], joint[inside]] = True
+    q, root = np.zeros((len(frames), n, 4)), np.zeros((len(frames), 3))
+    q[at[inside], joint[inside]] = t.column("q").combine_chunks().flatten().to_numpy().reshape(-1, 4)[inside]
+    root[at[joint == 0]] = t.column("pos").combine_chunks().flatten().to_numpy().reshape(-1, 3)[joint == 0]
+    whole = have.all(axis=1)
+    return root[whole], q[whole]
+
+
+def _frame_of(face_of: str):
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        skeleton = skeleton_of(t)
+        out = dict.fromkeys(("scale", "angle", "x", "z", "low"))
+        if skeleton is not None:
+            offsets = np.array(skeleton["offsets"], float)
+            root, q = _raw_clip(t, len(offsets))
+            if len(root) >= 2:
+                scale = bone_scale(offsets, skeleton["scale_ref_joint_idx"])
+                angle, origin, low = canonical_frame(skeleton["parents"], offsets, root, matrices(q), skeleton[face_of], scale, skeleton["foot_joint_idx"] or [])
+                out = {"scale": scale, "angle": angle, "x": origin[0], "z": origin[2], "low": low}
+        return pa.table({"object_type": pa.array([key[0].as_py()]), "motion_id": pa.array([key[1].as_py()])} | {k: pa.array([v], pa.float64()) for k, v in out.items()})
+
+    return run
+
+
+def clip_parameters(raw: DataFrame, topology: DataFrame, face: str = "face") -> DataFrame:
+    """Per clip of ``encoded``'s input what its canonical form leaves out: scale, first facing, first place and lowest height.  With them ``decoded`` gives the raw animation back."""
+    t = topology.select("object_type", "parents", "offsets", "foot_joint_idx", "scale_ref_joint_idx", face)
+    rows = raw.select("object_type", "motion_id", "frame", "joint", F.col("q").cast("array<double>").alias("q"), F.col("pos").cast("array<double>").alias("pos"))
+    return with_skeletons(rows.join(t.select("object_type"), "object_type", "left_semi"), t).groupBy("object_type", "motion_id").applyInArrow(_frame_of(face), PARAMETERS).where("scale is not null")
+
+
+RAW = "object_type string, motion_id string, frame int, joint int, m array<double>, x double, y double, z double"
+
+
+def _decode(key: tuple, t: pa.Table) -> pa.Table:
+    skeleton = skeleton_of(t)
+    parents = np.array(skeleton["parents"]) if skeleton else np.zeros(0, int)
+    n = len(parents)
+    frame, joint = t.column("frame").to_numpy(), t.column("joint").to_numpy()
+    frames, at = np.unique(frame, return_inverse=True)
+    f = np.zeros((len(frames), max(n, 1), 13))
+    inside = joint < n
+    f[at[inside], joint[inside]] = t.column("f").combine_chunks().flatten().to_numpy().astype(float).reshape(-1, 13)[inside]
+    scale, angle, x0, z0, low = (t.column(k)[0].as_py() for k in ("scale", "angle", "x", "z", "low"))
+    first = f[..., 3:6] / np.maximum(np.linalg.norm(f[..., 3:6], axis=-1, keepdims=True), 1e-8)
+    third = np.cross(first, f[..., 6:9])
+    third /= np.maximum(np.linalg.norm(third, axis=-1, keepdims=True), 1e-8)
+    turn = np.stack([first, np.cross(third, first), third], axis=-1)
+    local = np.tile(np.eye(3), (len(frames), max(n, 1), 1, 1))  # joints without a child keep the rest pose
+    for j in range(n - 1, 0, -1):
+        local[:, parents[j]] = turn[:, j]  # the first child counts
+    step = np.zeros((len(frames), 3))
+    step[1:, [0, 2]] = f[:-1, 0][:, [9, 11]]
+    root = np.cumsum(np.einsum("tji,tj->ti", turn[:, 0], step), axis=0)
+    root[:, 1] = f[:, 0, 1]
+    c, s = np.cos(angle), np.sin(angle)
+    faced = np.array([[c, 0, s], [0, 1, 0], [-s, 0, c]])
+    root = (root + [x0, low, z0]) @ faced / scale
+    local[:, 0] = faced.T @ local[:, 0]
+    tt, jj = np.meshgrid(frames, np.arange(n), indexing="ij")
+    k = tt.size
+    spots = np.repeat(root[:, None], n, axis=1).reshape(-1, 3)
+    m = pa.ListArray.from_arrays(pa.array(np.arange(0, 9 * k + 1, 9), pa.int32()), pa.array(local[:, :n].reshape(-1)))
+    return pa.table({"object_type": pa.array([key[0].as_py()] * k, pa.string()), "motion_id": pa.array([key[1].as_py()] * k, pa.string()), "frame": pa.array(tt.ravel(), pa.int32()), "joint": pa.array(jj.ravel(), pa.int32()), "m": m} | {a: pa.array(spots[:, i], pa.float64()) for i, a in enumerate("xyz")})
+
+
+def decoded(features: DataFrame, topology: DataFrame, parameters: DataFrame) -> DataFrame:
+    """The inverse of ``encoded``: per frame and joint the joint's own rotation (m, row by row) and the root's raw place.  Joints that no child carries come out at rest."""
+    rows = features.select("object_type", "motion_id", "frame", "joint", "f").join(parameters, ["object_type", "motion_id"])
+    return with_skeletons(rows, topology.select("object_type", "parents")).groupBy("object_type", "motion_id").applyInArrow(_decode, RAW)
+
+
+def transferred(source: tuple, source_rest: tuple, target_rest: tuple) -> tuple:
+    """A pose (3 x 3, as columns) carried from one rest pose to another: source, source_rest undone, target_rest."""
+    from stridelake.functions import rotations as R
+
+    return R.matrix_multiply(R.matrix_multiply(source, R.matrix_transpose(source_rest)), target_rest)
+
+
+def expanded(small: DataFrame, mapping: DataFrame, rest: DataFrame) -> DataFrame:
+    """Features of a reduced rig on the full one: joints of the mapping (object_type, small_joint, joint) take their readings, others those of the rest pose (object_type, joint, f).
+
+    Children of one joint all carry its rotation, so a joint that is not mapped takes channels 3-8 of a mapped sibling (rest: parent), where there is one.
+    """
+    clips = small.select("object_type", "motion_id", "frame").distinct()
+    full = clips.join(rest.withColumnRenamed("f", "rest_f"), "object_type")
+    taken = small.withColumnRenamed("joint", "small_joint").join(mapping, ["object_type", "small_joint"]).select("object_type", "motion_id", "frame", "joint", "f")
+    met = full.join(taken, ["object_type", "motion_id", "frame", "joint"], "left")
+    from pyspark.sql import Window as W
+
+    sibling = F.min_by("f", F.when(F.col("f").isNotNull(), F.col("joint"))).over(W.partitionBy("object_type", "motion_id", "frame", "parent"))
+    turned = F.concat(F.slice("rest_f", 1, 3), F.slice(sibling, 4, 6), F.slice("rest_f", 10, 4))
+    return met.select("object_type", "motion_id", "frame", "joint", F.coalesce("f", turned, "rest_f").alias("f"))

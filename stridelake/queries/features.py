@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stridelake.functions import rotations as R
@@ -271,4 +272,41 @@ def ft_rest_roll(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.rest_roll(first_topology(spark, sf_dir)).withColumn("score", F.round("score", 6))
 
 
+@query(
+    f"""WITH {FINITE}, {TOPOLOGY}, w AS (SELECT m.object_type, motion_id, frame FROM m JOIN topo t ON t.object_type = m.object_type WHERE joint < len(parents) AND len(parents) >= 3 AND len(list_filter(list_zip(parents, range(len(parents))), lambda p: p[1] >= p[2])) = 0 GROUP BY ALL HAVING count(*) = any_value(len(parents)))
+SELECT w.object_type, motion_id, ((count(*) - 1) * any_value(len(list_distinct(list_filter(parents, lambda p: p >= 0)))))::BIGINT AS n_rows, true AS rotations_back, true AS root_back FROM w JOIN topo t ON t.object_type = w.object_type GROUP BY ALL HAVING count(*) >= 2"""
+)
+def ft_decoded_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every clip encoded, and decoded with what its canonical form left out: mean angle to the raw rotations below a thousandth, and the root's path back to a thousandth of its size."""
+    raw, t = _raw(spark, sf_dir)
+    raw = stored(raw, "raw")
+    e = stored(E.encoded(raw, t).where("error is null"), "encoded")
+    back = E.decoded(e, t, stored(E.clip_parameters(raw, t), "clip-parameters"))
+    carries = t.select("object_type", F.explode(F.array_distinct("parents")).alias("joint")).where("joint >= 0")
+    whole = raw.join(t.select("object_type", F.size("parents").alias("n")), "object_type").where("joint < n")
+    frames = whole.groupBy(*X.CLIP, "frame").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n"), F.max(F.when(F.col("joint") == 0, F.col("pos"))).alias("root")).where("k = n")
+    at = W.partitionBy(*X.CLIP).orderBy("frame")
+    numbered = frames.select(*X.CLIP, F.col("frame").alias("source"), (F.row_number().over(at) - 1).cast("int").alias("frame"), "root")
+    asked = numbered.join(raw.withColumnRenamed("frame", "source").select(*X.CLIP, "source", "joint", "q"), [*X.CLIP, "source"])
+    both = back.join(F.broadcast(carries), ["object_type", "joint"]).join(asked, X.KEYS)
+    q = [F.col("q")[i] for i in range(4)]
+    angle = R.geodesic([F.col("m")[i] for i in range(9)], R.quat_matrix(R.quat_normalize(q)), 0.0)
+    off = R.norm([F.col(k) - F.col("root")[i] for i, k in enumerate("xyz")])
+    size = R.norm([F.col("root")[i] for i in range(3)])
+    per = both.groupBy(*X.CLIP).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(angle).alias("angle"), F.avg(off).alias("off"), F.max(size).alias("size"))
+    return per.select(*X.CLIP, "n_rows", (F.col("angle") < 1e-3).alias("rotations_back"), (F.col("off") < 1e-3 * (1 + F.col("size"))).alias("root_back"))
+
+
+@query(f"WITH {FINITE} SELECT object_type, motion_id, frame, joint, round(f[1], 5) + 0.0 AS x, round(f[4], 5) + 0.0 AS r0, CASE WHEN joint > 2 THEN 'rest' ELSE 'taken' END AS origin FROM m WHERE joint <= 2 UNION ALL SELECT object_type, motion_id, frame, 3 AS joint, 0.5 AS x, round(arg_min(f[4], joint), 5) + 0.0 AS r0, 'rest' FROM m WHERE joint IN (1, 2) GROUP BY ALL UNION ALL SELECT object_type, motion_id, frame, 3 AS joint, 0.5, 1.0, 'rest' FROM m WHERE joint <= 2 GROUP BY ALL HAVING count(CASE WHEN joint IN (1, 2) THEN 1 END) = 0")
+def ft_expanded_rig(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three joints of each clip on a rig of four: the fourth, a sibling of the second and third, takes their rotation and its own rest place."""
+    m = finite_motion(spark, sf_dir).where("joint <= 2")
+    kinds = m.select("object_type").distinct()
+    mapping = kinds.withColumn("small_joint", F.explode(F.array(*map(F.lit, range(3))))).withColumn("joint", F.col("small_joint"))
+    f = F.array(*(F.lit(float(x)) for x in (0.5, 0, 0, 1, 0, 0, 0, 1, 0, 0, 0, 0, 0))).cast("array<float>")
+    rest = kinds.withColumn("joint", F.explode(F.array(*map(F.lit, range(4))))).withColumns({"parent": F.when(F.col("joint") == 0, -1).otherwise(0), "f": f})
+    out = E.expanded(m, mapping, rest).join(m.select(*X.KEYS, F.lit(1).alias("there")), X.KEYS, "left").where("there = 1 or joint = 3")
+    return out.select(*X.KEYS, *((F.round(F.get("f", F.lit(c)).cast("double"), 5) + 0.0).alias(k) for c, k in ((0, "x"), (3, "r0"))), F.when(F.col("joint") == 3, "rest").otherwise("taken").alias("origin"))
+
+
 QUERIES, ORACLE = query.queries, query.oracle
