@@ -35,8 +35,11 @@ def tiered_match(names: DataFrame, name: str, prefix: str, stems: DataFrame, ste
     ends = left.where("counted").select(name, F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("base"), F.lit(1))), lambda i: F.expr("base").substr(i, F.length("base")))).alias("s"))
     two = ends.join(keys, "s").select(name, F.lit(2).alias("tier"), "s", "p")
     left = left.join(two.select(name).distinct(), name, "left_anti")
-    lengths = F.broadcast(keys.select(F.length("s").alias("n")).distinct())  # distinct name lengths: a few dozen numbers
-    inside = left.join(lengths, F.col("n") <= F.length(name)).select(name, F.explode(F.transform(F.sequence(F.lit(1), F.length(name) - F.col("n") + 1), lambda i: F.col(name).substr(i, F.col("n")))).alias("s")).distinct()
+    # a stem can only be where its first two letters are, and as long as stems with those letters are
+    heads = keys.groupBy(F.substring("s", 1, 2).alias("head")).agg(F.collect_set(F.length("s")).alias("lengths"))
+    starts = left.select(name, F.explode(F.sequence(F.lit(1), F.greatest(F.length(name), F.lit(1)))).alias("i"))
+    starts = starts.withColumn("head", F.explode(F.array_distinct(F.array(F.col(name).substr(F.col("i"), F.lit(1)), F.col(name).substr(F.col("i"), F.lit(2))))))
+    inside = starts.join(heads, "head").select(name, F.explode(F.transform(F.filter("lengths", lambda n: F.col("i") + n - 1 <= F.length(name)), lambda n: F.col(name).substr(F.col("i"), n))).alias("s")).distinct()
     three = inside.join(keys, "s").select(name, F.lit(3).alias("tier"), "s", "p")
     best = one.unionByName(two).unionByName(three).groupBy(name).agg(F.min_by(F.struct("tier", "s"), F.struct("tier", "p", "s")).alias("b"))
     return names.select(name).join(best, name, "left").select(name, F.col("b.tier").alias("tier"), F.col("b.s").alias("stem"))
@@ -97,8 +100,8 @@ def rest_clip(clips: DataFrame) -> DataFrame:
     """One clip per source to take the rest pose from: a name with ``rest`` or ``tpos`` first, then idling ones, then the first by name."""
     low = F.lower("motion_id")
     rank = F.when(low.rlike("rest_pose|tpos"), 0).when(low.rlike("idle"), 1).otherwise(2)
-    w = W.partitionBy("object_type").orderBy(rank, "motion_id")
-    return clips.where("object_type is not null").select("object_type", "motion_id", F.row_number().over(w).alias("k"), rank.alias("choice")).where("k = 1").drop("k")
+    best = F.min(F.struct(rank.alias("choice"), "motion_id"))
+    return clips.where("object_type is not null").groupBy("object_type").agg(best.alias("b")).select("object_type", "b.motion_id", "b.choice")
 
 
 def copy_plan(files: DataFrame, root: str) -> DataFrame:

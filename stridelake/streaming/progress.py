@@ -28,11 +28,15 @@ def drained(stream: DataFrame, mode: str = "append", where: str | None = None) -
     spark = stream.sparkSession
     base = where or scratch_path(spark, "stream")
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{base}/out")
+    def replace(batch: DataFrame, number: int) -> None:
+        # a batch that is tried again writes over itself
+        batch.write.mode("overwrite").parquet(f"{base}/out/b{0 if mode == 'complete' else number}")
 
     stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(replace).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/out")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{base}/out/*")
 
 
 def window_counts(events: DataFrame, time: str, key: str, value: str, width: str, late: str = "1 day") -> DataFrame:
