@@ -125,7 +125,7 @@ def test_strings(spark):
     assert one(T.is_float_text(lit(" -1.5 "))) and not one(T.is_float_text(lit("1"))) and one(T.is_number_text(lit("12")))
     assert one(T.light_caption(lit("a  owl  sits , , here."))) == "an owl sits, here"
     assert one(T.length_mask(lit(2), 4)) == [True, True, False, False] and one(T.before_hash(lit("a b # c"))) == "a b"
-    assert one(T.article(lit("Owl"))) == "an" and one(T.action_class(lit("slow_trot"))) == "run"
+    assert one(T.article(lit("Owl"))) == "an" and one(T.action_class(lit("walk_turn_left"))) == "walk" and one(T.action_class(lit("slow_trot"))) == "other"
     assert one(T.preview_name(lit(3), lit("x/y.npy"))).startswith("00003_y_")
 
 
