@@ -52,10 +52,10 @@ def group_statistics(motion: DataFrame, floor: float = 0.0) -> DataFrame:
 
 
 def z_normalize(motion: DataFrame, stats: DataFrame) -> DataFrame:
-    """(x - mean) / (std + 1e-6) per row and channel, missing or undefined as 0: (keys, z)."""
-    s = stats.groupBy("object_type", "joint").agg(F.array_sort(F.collect_list(F.struct("channel", "mean", "std"))).alias("s"))
+    """(x - mean) / (std + 1e-6) per row and channel, missing or undefined as 0: (keys, z, s, f)."""
+    s = stored(stats.groupBy("object_type", "joint").agg(F.array_sort(F.collect_list(F.struct("channel", "mean", "std"))).alias("s")), "statistics")
     z = F.zip_with("f", "s", lambda x, q: F.nanvl(F.coalesce((x.cast("double") - q["mean"]) / (q["std"] + 1e-6), F.lit(0.0)), F.lit(0.0)))
-    return motion.join(s, ["object_type", "joint"]).select(*KEYS, z.alias("z"), "s")
+    return motion.join(sized(s), ["object_type", "joint"]).select(*KEYS, z.alias("z"), "s", "f")
 
 
 def z_restore(normalized: DataFrame) -> DataFrame:

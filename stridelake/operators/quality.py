@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stridelake.functions import rotations as R
 from stridelake.operators import features as X
 from stridelake.operators import skeleton as S
+from stridelake.scratch import sized, stored
 
 CEILING = 25.0
 EPS = 1e-6
@@ -80,9 +81,32 @@ def gate_c(motion: DataFrame, topology: DataFrame, clean: float = 1e-4, of_box:
 def error_report(motion: DataFrame, topology: DataFrame) -> DataFrame:
     """Per source: mean, 95th percentile (linear) and largest distance of positions by rotation and by position."""
     by_rotation = X.forward_kinematics(motion, topology).join(X.world_positions(motion).select(*X.KEYS, "w0", "w1", "w2"), X.KEYS)
-    gap = by_rotation.select("object_type", R.norm(R.minus((F.col("x"), F.col("y"), F.col("z")), R.names("w", 3))).alias("e"))
-    # percentile_approx keeps a bounded summary where an exact percentile would hold a source's values in one task
-    return gap.groupBy("object_type").agg(F.avg("e").alias("mean"), F.percentile_approx("e", 0.95, 10_000).alias("p95"), F.max("e").alias("largest"))
+    gap = stored(by_rotation.select("object_type", R.norm(R.minus((F.col("x"), F.col("y"), F.col("z")), R.names("w", 3))).alias("e")), "gaps")
+    p95 = exact_percentile(gap, "object_type", "e", 0.95).withColumnRenamed("value", "p95")
+    return gap.groupBy("object_type").agg(F.avg("e").alias("mean"), F.max("e").alias("largest")).join(p95, "object_type").select("object_type", "mean", "p95", "largest")
+
+
+def exact_percentile(values: DataFrame, group: str, value: str, share: float, accuracy: int = 10_000) -> DataFrame:
+    """(group, value): the exact percentile with linear interpolation; ``values`` is a stored table and is read twice.
+
+    A bounded summary brackets it first; then only the values inside the bracket (some ten-thousandths of a group, distinct ones with
+    their number) are gathered, and those below are counted.
+    """
+    room = 4.0 / accuracy
+    ends = values.groupBy(group).agg(F.count(value).alias("n"), *(F.percentile_approx(value, min(max(s, 0.0), 1.0), accuracy).alias(k) for k, s in (("low", share - room), ("high", share + room))))
+    # in a small group, of no more values than the summary has points, ranks are too coarse for a bracket, and all values are inside
+    small = F.col("n") <= accuracy
+    ends = ends.where("n > 0").withColumns({"low": F.when(small, float("-inf")).otherwise(F.col("low")), "high": F.when(small, float("inf")).otherwise(F.col("high"))})
+    ends = stored(ends, "percentile-ends")
+    met = values.where(F.col(value).isNotNull()).join(sized(ends), group)
+    first, last = F.floor((F.col("n") - 1) * share), F.ceil((F.col("n") - 1) * share)
+    below = met.groupBy(group).agg(F.count_if(F.col(value) < F.col("low")).alias("below"))
+    inside = met.where((F.col(value) >= F.col("low")) & (F.col(value) <= F.col("high"))).groupBy(group, value).agg(F.count(F.lit(1)).alias("k"))
+    up_to = F.sum("k").over(W.partitionBy(group).orderBy(value))
+    ranked = inside.withColumn("upto", up_to).join(below, group).join(ends, group).withColumn("upto", F.col("upto") + F.col("below"))
+    pick = lambda rank: F.min(F.when(F.col("upto") > rank, F.col(value)))
+    part = F.first((F.col("n") - 1) * share - first)
+    return ranked.groupBy(group).agg((pick(first) * (1 - part) + pick(last) * part).alias("value"))
 
 
 def gate_e(clips: DataFrame, topology: DataFrame, listed: DataFrame) -> DataFrame:

@@ -201,3 +201,25 @@ def validate(topology: DataFrame) -> DataFrame:
     }
     issues = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in rules.items()]))
     return topology.join(reach, "object_type", "left").select("object_type", issues.alias("issues"))
+
+
+def constraints(topology: DataFrame) -> DataFrame:
+    """Pairs of joints that keep their distance at rest: each joint and its parent, and children of one joint: (object_type, i, j, kind, length), i below j."""
+    pos = rest_positions(topology).select("object_type", "joint", "x", "y", "z")
+    child = joints(topology).where("parent >= 0").select("object_type", "joint", "parent")
+    edges = child.select("object_type", F.least("joint", "parent").alias("i"), F.greatest("joint", "parent").alias("j"), F.lit("bone").alias("kind"))
+    # the children of a joint are few: skeletons are bounded by their joints
+    other = child.select("object_type", "parent", F.col("joint").alias("j"))
+    siblings = child.withColumnRenamed("joint", "i").join(other, ["object_type", "parent"]).where("i < j").select("object_type", "i", "j", F.lit("sibling").alias("kind"))
+    at = lambda k: pos.select("object_type", F.col("joint").alias(k), *(F.col(c).alias(f"{k}_{c}") for c in "xyz"))
+    met = edges.unionByName(siblings).join(at("i"), ["object_type", "i"]).join(at("j"), ["object_type", "j"])
+    return met.select("object_type", "i", "j", "kind", F.sqrt(sum((F.col(f"i_{c}") - F.col(f"j_{c}")) ** 2 for c in "xyz")).alias("length"))
+
+
+def feet_with_below(topology: DataFrame, tokens: str = "toe|foot|hoof|ashi") -> DataFrame:
+    """Per skeleton the joints named as feet and all joints below them; every joint, unnamed, where a skeleton has none: (object_type, joint, named)."""
+    named = joints(topology).where(F.lower("name").rlike(tokens)).select("object_type", F.col("joint").alias("ancestor"))
+    below = closure(topology).join(named, ["object_type", "ancestor"], "left_semi").select("object_type", "joint").distinct()
+    without = topology.select("object_type").join(named.select("object_type").distinct(), "object_type", "left_anti")
+    every = joints(topology).join(without, "object_type", "left_semi").select("object_type", "joint", F.lit(False).alias("named"))
+    return below.withColumn("named", F.lit(True)).unionByName(every)

@@ -11,7 +11,7 @@ from stridelake.operators import encode as E
 from stridelake.operators import features as X
 from stridelake.operators import skeleton as S
 from stridelake.queries.base import CLIP, FINITE, TOPOLOGY, Registry, finite_motion, first_clip, first_topology
-from stridelake.scratch import stored
+from stridelake.scratch import stored, table
 
 query = Registry()
 K = "object_type, motion_id, frame, joint"
@@ -48,7 +48,7 @@ def ft_z_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = finite_motion(spark, sf_dir)
     z = X.z_normalize(m, X.group_statistics(m))
     back = F.zip_with("z", "s", lambda z, q: z * (q["std"] + 1e-6) + q["mean"])
-    z = z.join(m, X.KEYS).select(*X.KEYS, "z", "f", back.alias("back"))
+    z = z.select(*X.KEYS, "z", "f", back.alias("back"))
     total = F.aggregate("z", F.lit(0.0), lambda a, x: a + x)
     error = F.array_max(F.zip_with("f", "back", lambda a, b: F.abs(a.cast("double") - b)))
     return z.select(*X.KEYS, (F.round(total, 5) + 0.0).alias("z_sum"), F.round(F.array_max(F.transform("z", lambda x: F.abs(x))), 5).alias("z_max"), F.round(error, 6).alias("restore_error"))
@@ -309,4 +309,18 @@ def ft_expanded_rig(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*X.KEYS, *((F.round(F.get("f", F.lit(c)).cast("double"), 5) + 0.0).alias(k) for c, k in ((0, "x"), (3, "r0"))), F.when(F.col("joint") == 3, "rest").otherwise("taken").alias("origin"))
 
 
+@query(
+    _STATS + f", bad AS (SELECT DISTINCT object_type, motion_id, frame, joint, CAST(f AS DOUBLE[]) AS f FROM motion WHERE object_type IS NOT NULL AND len(f) = 13 AND len(list_filter(f, lambda x: isfinite(x))) < 13), w AS (SELECT {K}, CAST(unnest(range(13)) AS INTEGER) AS channel, unnest(f) AS x FROM bad) "
+    + f"SELECT {K}, round(sum(CASE WHEN x IS NULL OR isnan(x) OR isinf(x) THEN 0 ELSE (x - mean) / (std + 1e-6) END), 4) + 0.0 AS z_sum, count(CASE WHEN x IS NULL OR isnan(x) THEN 1 END) AS n_undefined, count(CASE WHEN isinf(x) THEN 1 END) AS n_unbounded FROM w JOIN s USING (object_type, joint, channel) GROUP BY ALL"
+)
+def ft_z_undefined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with readings that are not finite, normalised by the statistics of the others: missing and undefined readings become 0, infinite ones stay so."""
+    bad = table(spark, sf_dir, "motion").select("object_type", "motion_id", "frame", "joint", "f").where("object_type is not null and f is not null and size(f) = 13")
+    fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    z = X.z_normalize(bad.where(~F.forall("f", fine)).distinct(), X.group_statistics(finite_motion(spark, sf_dir)))
+    total = F.aggregate(F.filter("z", lambda x: F.abs(x) < float("inf")), F.lit(0.0), lambda a, x: a + x)
+    undefined = F.size(F.filter(F.zip_with("z", "f", lambda x, y: (y.isNull() | F.isnan(y)) & (x == 0)), lambda b: b)).cast("bigint")
+    return z.select(*X.KEYS, (F.round(total, 4) + 0.0).alias("z_sum"), undefined.alias("n_undefined"), F.size(F.filter("z", lambda x: F.abs(x) == float("inf"))).cast("bigint").alias("n_unbounded"))
+
+
 QUERIES, ORACLE = query.queries, query.oracle

@@ -99,9 +99,10 @@ def _failures(gate: str, sql: str, where: str) -> str:
     return f"SELECT '{gate}' AS gate, count(*) AS n_failed FROM ({sql}) WHERE {where}"
 
 
-@query()
+@query(query.oracle["qa_gate_c"].rsplit("\ne AS (", 1)[0] + " g AS (SELECT object_type, sqrt((x-w0)**2 + (y-w1)**2 + (z-w2)**2) AS e FROM duo) SELECT object_type, round(avg(e), 5) AS mean, round(quantile_cont(e, 0.95), 5) AS p95, round(max(e), 5) AS largest FROM g GROUP BY object_type")
 def qa_position_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.error_report(finite_motion(spark, sf_dir), first_topology(spark, sf_dir))
+    out = Q.error_report(finite_motion(spark, sf_dir), first_topology(spark, sf_dir))
+    return out.withColumns({k: F.round(k, 5) for k in ("mean", "p95", "largest")})
 
 
 @query(

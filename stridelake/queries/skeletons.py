@@ -143,4 +143,20 @@ def sk_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.validate(first_topology(spark, sf_dir)).select("object_type", F.array_join("issues", ";").alias("issues"))
 
 
+@query(
+    _JOINTS + f""", p AS ({_REST}), e AS (SELECT object_type, least(joint, parent) AS i, greatest(joint, parent) AS j, 'bone' AS kind FROM j WHERE parent >= 0 UNION ALL SELECT a.object_type, a.joint, b.joint, 'sibling' FROM j a JOIN j b ON a.object_type = b.object_type AND a.parent = b.parent AND a.joint < b.joint WHERE a.parent >= 0)
+SELECT e.object_type, e.i, e.j, kind, round(sqrt((a.x-b.x)**2 + (a.y-b.y)**2 + (a.z-b.z)**2), 6) AS length FROM e JOIN p a ON a.object_type = e.object_type AND a.joint = e.i JOIN p b ON b.object_type = e.object_type AND b.joint = e.j"""
+)
+def sk_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.constraints(first_topology(spark, sf_dir)).withColumn("length", F.round("length", 6))
+
+
+@query(
+    _JOINTS + """, n AS (SELECT object_type, joint FROM j WHERE regexp_matches(lower(name), 'pad|tip')), b AS (SELECT DISTINCT up.object_type, up.joint FROM up JOIN n ON n.object_type = up.object_type AND n.joint = up.ancestor)
+SELECT object_type, joint, true AS named FROM b UNION ALL SELECT object_type, joint, false FROM j WHERE object_type NOT IN (SELECT object_type FROM n)"""
+)
+def sk_feet_with_below(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.feet_with_below(first_topology(spark, sf_dir), "pad|tip")
+
+
 QUERIES, ORACLE = query.queries, query.oracle
