@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stridelake.functions import rotations as R
 from stridelake.operators import features as X
 from stridelake.operators import skeleton as S
-from stridelake.scratch import sized, stored
+from stridelake.scratch import partitions, sized, stored
 
 CEILING = 25.0
 EPS = 1e-6
@@ -180,17 +180,32 @@ def means_of_means(values: DataFrame, character: str, metric: str, value: str) -
     return per.unionByName(final)
 
 
+def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """Rows with ``place`` (from 0 in ``order``) and ``places`` of their group.
+
+    Rows are range-partitioned by group and order, so a large group spreads over many tasks; each numbers its own part, and what comes before a
+    part is summed up from one row per group and partition.
+    """
+    parts = rows.repartitionByRange(partitions(rows.sparkSession), group, *order).withColumn("its_part", F.spark_partition_id())
+    parts = stored(parts, "parts")
+    own = F.row_number().over(W.partitionBy(group, "its_part").orderBy(*order)) - 1
+    of_group = W.partitionBy(group)
+    sizes = parts.groupBy(group, "its_part").agg(F.count(F.lit(1)).alias("k"))
+    sizes = sizes.select(F.col(group).alias("of"), F.col("its_part").alias("of_part"), F.coalesce(F.sum("k").over(of_group.orderBy("its_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.sum("k").over(of_group).alias("places"))
+    met = parts.withColumn("place", own).join(sized(stored(sizes, "part-sizes")), F.col(group).eqNullSafe(F.col("of")) & (F.col("its_part") == F.col("of_part")))
+    return met.withColumn("place", F.col("place") + F.col("before")).drop("of", "of_part", "its_part", "before")
+
+
 def segment_numbers(rows: DataFrame, source: str, order: str) -> DataFrame:
     """Place of each segment within its source from 0, and how many there are."""
-    w = W.partitionBy(source)
-    return rows.withColumn("segment_index", F.row_number().over(w.orderBy(order)) - 1).withColumn("segment_count", F.count(F.lit(1)).over(w))
+    out = numbered(rows, source, [order])
+    return out.withColumns({"segment_index": F.col("place").cast("int"), "segment_count": F.col("places")}).drop("place", "places")
 
 
 def pages(rows: DataFrame, group: str, order: list[str], size: int = 90) -> DataFrame:
     """Page of each row within its group, and the pages there are."""
-    w = W.partitionBy(group)
-    n = F.count(F.lit(1)).over(w)
-    return rows.withColumn("page", F.floor((F.row_number().over(w.orderBy(*order)) - 1) / size).cast("int")).withColumn("n_pages", F.ceil(n / size).cast("int"))
+    out = numbered(rows, group, order)
+    return out.withColumns({"page": F.floor(F.col("place") / size).cast("int"), "n_pages": F.ceil(F.col("places") / size).cast("int")}).drop("place", "places")
 
 
 def acceptance(motion: DataFrame, clips: DataFrame, topology: DataFrame, listed: DataFrame, source_world: DataFrame | None = None) -> DataFrame:

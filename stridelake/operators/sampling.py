@@ -39,7 +39,8 @@ def weighted_sample(weighted: DataFrame, key: str, weight: str, n: int, seed: in
 def stratified_pilot(rows: DataFrame, group: list[str], key: str, n: int, seed: int) -> DataFrame:
     """n rows, one of each group in turn until they are used up; within a group in hashed order."""
     w = W.partitionBy(*group).orderBy(uniform(F.col(key), seed), key)
-    return rows.withColumn("turn", F.row_number().over(w)).orderBy("turn", *group, key).limit(n)
+    # no row beyond the n-th of its group can be among the first n, so each task hands on at most n of a group
+    return rows.withColumn("turn", F.row_number().over(w)).where(F.col("turn") <= n).orderBy("turn", *group, key).limit(n)
 
 
 def step_weights(losses: DataFrame, step: str, loss: str, order: str, history: int = 10, uniform_share: float = 0.001) -> DataFrame:
