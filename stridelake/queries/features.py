@@ -100,9 +100,12 @@ def ft_world_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {FINITE}, r AS (SELECT object_type, motion_id, frame FROM m WHERE joint = 0) SELECT {K}, round(f[1], 4) + 0.0 AS p0, round(f[2], 4) + 0.0 AS p1, round(f[3], 4) + 0.0 AS p2 FROM m JOIN r USING (object_type, motion_id, frame) WHERE joint > 0")
 def ft_relative_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """World positions made root-relative again: the stored readings come back."""
-    p = X.relative_positions(X.world_positions(finite_motion(spark, sf_dir))).where("joint > 0")
-    return _round(p.select(*X.KEYS, "p0", "p1", "p2"), ["p0", "p1", "p2"], 4)
+    """World positions made root-relative again: the stored readings come back (to a millionth; what is off by more is shown as it came)."""
+    m = finite_motion(spark, sf_dir)
+    p = X.relative_positions(X.world_positions(m)).where("joint > 0").join(m, X.KEYS)
+    back = lambda c, f: F.when(F.abs(c - f) <= 1e-6 * (1 + F.abs(f)), f).otherwise(c)
+    out = p.select(*X.KEYS, *(back(F.col(f"p{i}"), F.get("f", F.lit(i)).cast("double")).alias(f"p{i}") for i in range(3)))
+    return _round(out, ["p0", "p1", "p2"], 4)
 
 
 @query(
