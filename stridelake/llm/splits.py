@@ -5,8 +5,10 @@ of their records have each label).  Placement is iterative stratification over c
 the fewest outstanding records comes first, its components go, largest first, to the split that still needs
 most of that label.
 
-Components above a thousandth of all records (at most a thousand of them) are placed first, in one task, by the labels that
-at least a thousandth of the records have, so nothing there grows with the data.  All others are placed in shards, each by itself.  A
+Components above a thousandth of all records (at most a thousand of them) are placed first, in one task, by all labels they have; of
+labels that are spread over these components alike, count by count, the first by name stands for all, as the others find every one of
+their components placed.  What is left of each such label's need is worked out label by label, where it lies, and goes to the
+components that follow.  All others are placed in shards, each by itself.  A
 component goes to the shard of its rarest label, and only components whose rarest label fills more than a part of a shard are
 spread by hash; so a rare label is seen whole in one place.  What the splits still need of a label is shared out to the
 shards in whole records, rounded by a draw from the hash of label and shard, so that labels in many shards keep their
@@ -19,6 +21,7 @@ column; ties go to the larger total need, then to the split named first; an empt
 
 from __future__ import annotations
 
+import heapq
 import zlib
 
 import numpy as np
@@ -31,7 +34,6 @@ from stridelake.scratch import discard, lookup, stored
 TARGETS = {"train": 0.8, "val": 0.1, "test": 0.1}
 HEAVY = 1000
 SHARD_COMPONENTS = 50_000
-STEERING = 1000
 
 
 def components(records: DataFrame, record: str, keys: list[str]) -> DataFrame:
@@ -72,9 +74,11 @@ def label_counts(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _vectors(counts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """component, n and label vector (a map of label to count) of the components in ``sizes``."""
-    vector = counts.groupBy("component").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "k")))).alias("vector"))
-    return sizes.join(vector, "component", "left").withColumn("vector", F.coalesce("vector", F.create_map().cast("map<string,bigint>")))
+    """component, n, label vector (a map of label to count) and, where ``wanted`` is known, what the splits want of a label (a map), of the components in ``sizes``."""
+    vector = F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "k")))).alias("vector")
+    wants = F.map_from_entries(F.collect_list(F.when(F.col("wanted").isNotNull(), F.struct("label", "wanted")))).alias("wants")
+    empty = {"vector": "map<string,bigint>", "wants": "map<string,array<double>>"}
+    return sizes.join(counts.groupBy("component").agg(vector, wants), "component", "left").withColumns({k: F.coalesce(k, F.create_map().cast(kind)) for k, kind in empty.items()})
 
 
 def _place(pdf: pd.DataFrame, need: dict[str, np.ndarray], total_need: np.ndarray, names: list[str]) -> list[str]:
@@ -98,15 +102,18 @@ def _place(pdf: pd.DataFrame, need: dict[str, np.ndarray], total_need: np.ndarra
         total_need[s] -= sizes[i]
         for label, k in vectors[i].items():
             outstanding[label] -= k
+            if outstanding[label]:
+                heapq.heappush(queue, (outstanding[label], label))
             need.setdefault(label, np.zeros(len(names)))[s] -= k
 
-    while outstanding:
-        label = min(outstanding, key=lambda x: (outstanding[x], x))
-        for i in having[label]:
-            if placed[i] is None:
-                put(i, need.setdefault(label, np.zeros(len(names))))
-        del outstanding[label]
-        outstanding = {k: v for k, v in outstanding.items() if v > 0}
+    queue = [(k, label) for label, k in outstanding.items()]
+    heapq.heapify(queue)
+    while queue:
+        k, label = heapq.heappop(queue)
+        if outstanding[label] == k:  # else it has fewer by now, and stands in the queue with that
+            for i in having[label]:
+                if placed[i] is None:
+                    put(i, need.setdefault(label, np.zeros(len(names))))
     for i in order:
         if placed[i] is None:
             put(i, total_need)
@@ -130,19 +137,23 @@ def assign_splits(counts: DataFrame, sizes: DataFrame, targets: dict[str, float]
     whole = sizes.agg(F.sum("n"), F.count(F.lit(1))).first()
     total, n_components = whole[0] or 0, whole[1]
     tally = stored(counts.groupBy("label").agg(F.sum("k").alias("total")), "label-totals")
-    # a record has one label of each label column, so at most STEERING labels of each pass
-    start = {r[0]: shares * r[1] for r in tally.where(F.col("total") * STEERING >= total).collect()}
+    share = lambda s: F.lit(float(shares[names.index(s)])) * F.col("total")
     heavy = stored(sizes.where(F.col("n") * HEAVY > total), "heavy-components")
     light = sizes.where(F.col("n") * HEAVY <= total)
-    steered = counts.join(F.broadcast(heavy.select("component")), "component").where(F.col("label").isin(list(start)))
+    steered = stored(counts.join(F.broadcast(heavy.select("component")), "component"), "heavy-counts")
+    profiles = steered.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("component", "k"))).alias("profile"))
+    kept = stored(profiles.groupBy("profile").agg(F.min("label").alias("label")).select("label"), "heavy-labels")
+    needs = stored(lookup(tally, kept, "label", "left_semi").select("label", F.array(*(share(s) for s in names)).alias("wanted")), "heavy-needs")
 
     def place_heavy(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"component": pdf["component"], "split": _place(pdf, {k: v.copy() for k, v in start.items()}, shares * total, names)})
+        need = {label: np.array(v) for wants in pdf["wants"] for label, v in dict(wants).items()}
+        return pd.DataFrame({"component": pdf["component"], "split": _place(pdf, need, shares * total, names)})
 
-    first = stored(_vectors(steered, heavy).withColumn("all", F.lit(0)).groupBy("all").applyInPandas(place_heavy, "component string, split string"), "heavy-splits")
-    used = {(r[0], r[1]): r[2] for r in steered.join(F.broadcast(first), "component").groupBy("split", "label").agg(F.sum("k")).collect()}
+    first = stored(_vectors(lookup(steered, needs, "label"), heavy).withColumn("all", F.lit(0)).groupBy("all").applyInPandas(place_heavy, "component string, split string"), "heavy-splits")
+    used = steered.join(F.broadcast(first), "component").groupBy("label").agg(*(F.sum(F.when(F.col("split") == s, F.col("k")).otherwise(0)).alias(f"used {i}") for i, s in enumerate(names)))
+    rest = lookup(tally, stored(used, "labels-used"), "label").select("label", F.array(*(F.greatest(share(s) - F.col(f"used {i}"), F.lit(0.0)) for i, s in enumerate(names))).alias("wanted"))
+    rest = stored(rest, "labels-left")
     used_all = {r[0]: r[1] for r in heavy.join(first, "component").groupBy("split").agg(F.sum("n")).collect()}
-    rest = {label: np.maximum(v - np.array([used.get((s, label), 0) for s in names]), 0) for label, v in start.items()}
     rest_all = np.maximum(shares * total - np.array([used_all.get(s, 0) for s in names]), 0)
     shards = max(1, -(-(n_components - heavy.count()) // SHARD_COMPONENTS))
 
@@ -152,6 +163,7 @@ def assign_splits(counts: DataFrame, sizes: DataFrame, targets: dict[str, float]
             for label, k in dict(v).items():
                 of = (label, int(part) if label == rare else -1)
                 mine[of] = mine.get(of, 0) + k
+        rest = {label: np.array(v) for wants in pdf["wants"] for label, v in dict(wants).items()}
         need: dict[str, np.ndarray] = {}
         for (label, part), k in mine.items():
             v = rest[label] if label in rest and rest[label].sum() > 0 else shares
@@ -159,7 +171,7 @@ def assign_splits(counts: DataFrame, sizes: DataFrame, targets: dict[str, float]
         left = rest_all if rest_all.sum() > 0 else shares
         return pd.DataFrame({"component": pdf["component"], "split": _place(pdf, need, left / left.sum() * pdf["n"].sum(), names)})
 
-    light = _vectors(counts, light)
+    light = _vectors(lookup(counts, rest, "label", "left"), light)
     if shards == 1:
         light = light.withColumns({"rare": F.lit(""), "part": F.lit(0).cast("bigint"), "shard": F.lit(0).cast("bigint")})
     else:
